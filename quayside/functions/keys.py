@@ -53,14 +53,22 @@ def file_suffix(batch_id: Column, shard: Column, stream: Column, file_seq: Colum
     return F.substring(F.sha2(identity, 256), 1, 8)
 
 
-def landed_key(stream: str, sealed_us: int, batch_id: int, shard: int, file_seq: int, escape: bool) -> str:
-    """The key of one file, for the writer task: same text as `object_key` with `file_suffix`."""
+def landed_suffix(stream: str, batch_id: int, shard: int, file_seq: int) -> str:
+    """`file_suffix`, then shard and file number.
+
+    A batch gives all its files one seal time, and a large stream has more files in it than
+    eight hex characters can tell apart; the numbers make the name unique in the batch.
+    """
+    identity = f"{batch_id}|{shard}|{stream}|{file_seq}".encode()
+    return f"{hashlib.sha256(identity).hexdigest()[:8]}-{shard}-{file_seq}"
+
+
+def landed_key(stream: str, sealed_us: int, suffix: str, escape: bool) -> str:
+    """The key of one file, for the writer task: same text as `object_key`."""
     parts = stream.split(DELIMITER)
     if escape:
         parts = [p.replace("%", "%25").replace("/", "%2F").replace("\x00", "%00") for p in parts]
         parts = ["%" if not p else "%2E" + p[1:] if p[0] == "." else p for p in parts]
     at = datetime.fromtimestamp(sealed_us // 1_000_000, tz=timezone.utc)
-    identity = f"{batch_id}|{shard}|{stream}|{file_seq}".encode()
-    suffix = hashlib.sha256(identity).hexdigest()[:8]
     name = f"{at:%Y-%m-%dT%H:%M:%SZ}-{suffix}.jsonl.zst"
     return "/".join([*parts, f"ingest_year_month_day={at:%Y-%m-%d}", name])
