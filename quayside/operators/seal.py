@@ -360,6 +360,12 @@ def plan_files(
     )
 
 
+def full_files(planned: DataFrame, rules: SealRules) -> DataFrame:
+    """Keys of the files of `assign_files` that reached the target."""
+    written = planned.groupBy(*KEYS, "file_seq").agg(F.sum("line_bytes").alias("raw_size_b"))
+    return written.where(F.col("raw_size_b") >= rules.target_bytes).drop("raw_size_b")
+
+
 def due_us(created_us: Column, rules: SealRules) -> Column:
     """First tick at which a file created then is old enough."""
     age = created_us + rules.max_age_ms * 1000 - rules.t0_us

@@ -30,6 +30,13 @@ def build_session(app_name: str = "quayside", master: str | None = None, **conf:
     return spark
 
 
+def prepare(spark: SparkSession) -> None:
+    """Makes a session built elsewhere fit: UTC, and the package on the workers."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+    shared_dir(spark)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Makes the package importable in the Python workers. Once per application."""
     context = spark.sparkContext

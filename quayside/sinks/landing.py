@@ -412,18 +412,28 @@ def write_quarantine(errors: DataFrame, path: str) -> None:
 
 
 def write_partitioned(processed: DataFrame, path: str, codec: str = "gzip") -> None:
-    """Lines in plain Spark text files: stream parts and day as folders, no packing, no Python.
+    """Lines in plain Spark text files: stream and day as folders, no packing, no Python.
 
-    Folders are named in the key=value form; file sizes follow the tasks.
+    Rows are brought together per folder, and folders too large for a task are split.
     """
     written = processed.where(F.col("outcome") == "ok").select(
         F.array_join(F.split("stream_id", "\x1f"), "/").alias("stream"),
-        F.date_format("timestamp", "yyyy-MM-dd").alias("ingest_year_month_day"),
+        F.to_date(F.timestamp_micros(F.unix_micros(F.col("timestamp").cast("timestamp")))).alias(
+            "ingest_year_month_day"
+        ),
         F.col("line").cast("string").alias("value"),
     )
+    folders = ("stream", "ingest_year_month_day")
     (
-        written.write.mode("append")
-        .partitionBy("stream", "ingest_year_month_day")
+        written.hint("rebalance", *folders)
+        .write.mode("append")
+        .partitionBy(*folders)
         .option("compression", codec)
         .text(path)
     )
+
+
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of `write_partitioned` with their stream and day."""
+    schema = "value STRING, stream STRING, ingest_year_month_day DATE"
+    return spark.read.schema(schema).text(path).withColumnRenamed("value", "line")

@@ -79,7 +79,7 @@ def replay_events(spark: SparkSession, sf_dir: str, offsets: bool = False) -> Da
         F.when(dlq, "dlq").otherwise(F.concat(F.lit("topic-"), "event_type")).alias("topic"),
         (F.col("user_id") % 6).cast("int").alias("partition"),
         seq.alias("arrival_seq"),
-        F.col("ts").alias("timestamp"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
         value.alias("value"),
         headers.alias("headers"),
     )
