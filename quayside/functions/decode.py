@@ -1,13 +1,13 @@
 """Decoders: the bytes of a record value -> the body that goes into the envelope.
 
-A decoder is a function Column -> Column that gives NULL where the value cannot be
-decoded. `DECODERS` is the registry that topic configuration refers to by name; add an
-entry to support another framing.
+`DECODERS` is the registry that topic configuration refers to by name; add an entry to
+support another framing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,40 +20,63 @@ FRAME_BYTES = 5
 DECODER_LABELS = {"schema": "JsonSchemaDecoder", "string": "JsonStringDecoder"}
 
 
-def framed_body(value: Column) -> Column:
-    """Body behind the schema-registry frame; NULL for a bad or short frame."""
+class Decoder(NamedTuple):
+    """How large the body of a value is, NULL if it cannot be decoded, and the body itself.
+
+    `body` may assume that `size` is not NULL. Values can be tens of megabytes and every
+    mention of one in a projection may copy it, so all checks go by the size.
+    """
+
+    size: Callable[[Column], Column]
+    body: Callable[[Column], Column]
+
+
+def _framed_size(value: Column) -> Column:
     framed = (F.octet_length(value) >= FRAME_BYTES) & (
         F.substring(value, 1, 1) == F.lit(MAGIC_BYTE)
     )
-    return F.when(framed, F.substr(value, F.lit(FRAME_BYTES + 1)))
-
+    return F.when(framed, F.octet_length(value) - FRAME_BYTES)
 
-def plain_body(value: Column) -> Column:
-    """The value as it is."""
-    return value
 
+# What is behind the schema-registry frame; a bad or short frame is an error.
+FRAMED = Decoder(_framed_size, lambda value: F.substr(value, F.lit(FRAME_BYTES + 1)))
+# The value as it is.
+PLAIN = Decoder(F.octet_length, lambda value: value)
 
-DECODERS: dict[str, Callable[[Column], Column]] = {"schema": framed_body, "string": plain_body}
+DECODERS: dict[str, Decoder] = {"schema": FRAMED, "string": PLAIN}
 
 
-def body(
-    value: Column,
-    decoder: Column,
-    registry: Mapping[str, Callable[[Column], Column]] = DECODERS,
-) -> Column:
-    """Body by the decoder named in the row."""
-    chosen = F.lit(None).cast("binary")
-    for name, build in registry.items():
-        chosen = F.when(decoder == name, build(value)).otherwise(chosen)
+def _by_name(decoder: Column, built: Mapping[str, Column], kind: str) -> Column:
+    chosen = F.lit(None).cast(kind)
+    for name, column in built.items():
+        chosen = F.when(decoder == name, column).otherwise(chosen)
     return chosen
 
 
-def outcome(value: Column, decoded: Column) -> Column:
-    """`skip_null`, `decode_error`, `skip_empty` or `ok`."""
+# Size of the body of a record that has no value at all.
+NO_VALUE = -1
+
+
+def body_size(value: Column, decoder: Column, registry: Mapping[str, Decoder] = DECODERS) -> Column:
+    """Bytes of the body by the decoder named in the row.
+
+    NULL for a value that cannot be decoded, `NO_VALUE` for a NULL value.
+    """
+    sized = _by_name(decoder, {n: d.size(value) for n, d in registry.items()}, "int")
+    return F.when(value.isNull(), F.lit(NO_VALUE)).otherwise(sized)
+
+
+def body(value: Column, decoder: Column, registry: Mapping[str, Decoder] = DECODERS) -> Column:
+    """Body of a value that is known to decode."""
+    return _by_name(decoder, {n: d.body(value) for n, d in registry.items()}, "binary")
+
+
+def outcome(size: Column) -> Column:
+    """`skip_null`, `decode_error`, `skip_empty` or `ok`, by `body_size`."""
     return (
-        F.when(value.isNull(), "skip_null")
-        .when(decoded.isNull(), "decode_error")
-        .when(F.octet_length(decoded) == 0, "skip_empty")
+        F.when(size.isNull(), "decode_error")
+        .when(size == NO_VALUE, "skip_null")
+        .when(size == 0, "skip_empty")
         .otherwise("ok")
     )
 

@@ -5,30 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quayside.functions.headers import safe_headers
+from quayside.functions.headers import keeps
+
+LEAD = '{"data":'
+TAIL = "}"
 
 
 def header_members(headers: Column) -> Column:
-    """`,"x-<key>":"<value>"` for each safe header, as bytes; empty for no headers."""
+    """`,"x-<key>":"<value>"` for each safe header; empty for no headers.
+
+    The text may hold bytes that are not UTF-8; they pass through unchanged.
+    """
     members = F.transform(
-        safe_headers(headers),
-        lambda h: F.concat(
-            F.lit(',"x-'), h["key"], F.lit('":"'), h["value"].cast("string"), F.lit('"')
+        headers,
+        lambda h: F.when(
+            keeps(h),
+            F.concat(F.lit(',"x-'), h["key"], F.lit('":"'), h["value"].cast("string"), F.lit('"')),
         ),
     )
-    return F.coalesce(F.array_join(members, ""), F.lit("")).cast("binary")
+    return F.coalesce(F.array_join(members, ""), F.lit(""))
 
 
 def envelope_line(body: Column, headers: Column, terminator: str = "") -> Column:
     """The envelope as bytes. The body is spliced in verbatim and never parsed.
 
-    Pass `terminator="\\n"` for the form that is written to files.
+    Pass `terminator="\n"` for the form that is written to files.
     """
     return F.concat(
-        F.lit(b'{"data":'), body, header_members(headers), F.lit(b"}" + terminator.encode())
+        F.lit(LEAD.encode()),
+        body,
+        header_members(headers).cast("binary"),
+        F.lit((TAIL + terminator).encode()),
     )
 
 
-def line_bytes(line: Column) -> Column:
-    """Size of the written line: envelope and newline. 0 where there is no line."""
-    return F.coalesce(F.octet_length(line).cast("bigint") + 1, F.lit(0).cast("bigint"))
+def envelope_bytes(body_bytes: Column, headers: Column) -> Column:
+    """Size of the written line with its newline, without building it."""
+    fixed = len(LEAD) + len(TAIL) + 1
+    return body_bytes.cast("bigint") + F.octet_length(header_members(headers)) + fixed

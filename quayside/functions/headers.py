@@ -10,32 +10,36 @@ from pyspark.sql import functions as F
 UNSAFE = r'["\\\x00-\x1f]'
 
 
+def _usable(value: Column) -> Column:
+    return (F.octet_length(value) > 0) & F.is_valid_utf8(value.cast("string"))
+
+
 def header_value(headers: Column, key: str) -> Column:
-    """First usable value of `key`: non-null, valid UTF-8, not empty. NULL if there is none."""
-    usable = F.filter(
-        headers,
-        lambda h: (h["key"] == key)
-        & (F.octet_length(h["value"]) > 0)
-        & F.is_valid_utf8(h["value"].cast("string")),
+    """First usable value of `key`: non-null, valid UTF-8, not empty. NULL if there is none.
+
+    Nearly always the first header of that name is usable, and finding it needs no lambda;
+    the scan over all headers is left for the rest.
+    """
+    position = F.array_position(headers["key"], key)
+    first = F.get(headers, (position - 1).cast("int"))["value"]
+    others = F.filter(headers, lambda h: (h["key"] == key) & _usable(h["value"]))
+    return F.when(_usable(first), first.cast("string")).when(
+        position > 0, F.get(others, F.lit(0))["value"].cast("string")
     )
-    return F.get(usable, F.lit(0))["value"].cast("string")
 
 
 def is_unsafe(text: Column) -> Column:
     return text.rlike(UNSAFE)
 
 
-def _keeps(header: Column) -> Column:
-    return (
-        header["value"].isNotNull()
-        & ~is_unsafe(header["value"].cast("string"))
-        & ~is_unsafe(header["key"])
-    )
+def keeps(header: Column) -> Column:
+    """Whether a header can be spliced into the envelope unescaped. NULL for a null value."""
+    return ~is_unsafe(F.concat(header["key"], header["value"].cast("string")))
 
 
 def safe_headers(headers: Column) -> Column:
-    """Headers that can be spliced into the envelope unescaped, in their order."""
-    return F.filter(headers, _keeps)
+    """The headers that go into the envelope, in their order."""
+    return F.filter(headers, keeps)
 
 
 def drop_reason(header: Column) -> Column:

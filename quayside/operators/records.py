@@ -6,16 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import decode as d
-from quayside.functions.envelope import envelope_line, line_bytes
+from quayside.functions.envelope import envelope_bytes, envelope_line
 from quayside.functions.headers import drop_reason
 from quayside.functions.routing import stream_id, stream_parts
 from quayside.operators.topics import assign_config
 
 
+def judge(records: DataFrame) -> DataFrame:
+    """Adds `body_bytes` and `outcome` to records that carry a `decoder`.
+
+    Both are small and used more than once, so they stay a projection of their own that is
+    compiled together with the scan; what follows need not look at the value again.
+    """
+    sized = records.withColumn("body_bytes", d.body_size(F.col("value"), F.col("decoder")))
+    return sized.withColumn("outcome", d.outcome(F.col("body_bytes")))
+
+
 def decode(records: DataFrame) -> DataFrame:
-    """Adds `body` and `outcome` to records that carry a `decoder`."""
-    return records.withColumn("body", d.body(F.col("value"), F.col("decoder"))).withColumn(
-        "outcome", d.outcome(F.col("value"), F.col("body"))
+    """Adds `outcome`, `body_bytes` and `body` to records that carry a `decoder`."""
+    decoded = F.col("outcome").isin("ok", "skip_empty")
+    return judge(records).withColumn(
+        "body", F.when(decoded, d.body(F.col("value"), F.col("decoder")))
     )
 
 
@@ -31,10 +42,21 @@ def split_stream(records: DataFrame) -> DataFrame:
     return records.withColumn("stream_parts", stream_parts(F.col("stream_id")))
 
 
-def envelope(decoded: DataFrame) -> DataFrame:
-    """Adds `line` (NULL for skipped records) and `line_bytes` (with the newline)."""
-    line = F.when(F.col("outcome") == "ok", envelope_line(F.col("body"), F.col("headers")))
-    return decoded.withColumn("line", line).withColumn("line_bytes", line_bytes(F.col("line")))
+def envelope(judged: DataFrame) -> DataFrame:
+    """Adds `line` (NULL for skipped records) and `line_bytes` (with the newline).
+
+    A query that needs sizes only builds no lines, and no intermediate row holds a body
+    next to its line.
+    """
+    written = F.col("outcome") == "ok"
+    line = envelope_line(d.body(F.col("value"), F.col("decoder")), F.col("headers"))
+    size = envelope_bytes(F.col("body_bytes"), F.col("headers"))
+    return judged.withColumns(
+        {
+            "line": F.when(written, line),
+            "line_bytes": F.when(written, size).otherwise(F.lit(0).cast("bigint")),
+        }
+    )
 
 
 def decode_errors(decoded: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from quayside.functions.envelope import line_bytes
 from quayside.functions.headers import header_value
 from quayside.functions.keys import object_key, object_prefix
 from quayside.functions.metrics import compression_ratio
@@ -271,7 +270,7 @@ def order_seal(spark, sf_dir):
         F.concat_ws("\x1f", "o_orderpriority", "o_orderstatus").alias("stream_id"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
         F.col("o_orderkey").alias("arrival_seq"),
-        line_bytes(body).alias("line_bytes"),
+        (F.octet_length(body) + 1).cast("bigint").alias("line_bytes"),
     )
     return plan_files(records, seal_rules(records, TARGET, 30 * MAX_AGE_MS))
 

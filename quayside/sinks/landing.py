@@ -16,15 +16,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import decode as d
 from quayside.functions.envelope import envelope_line
 from quayside.functions.keys import landed_key, landed_suffix
 from quayside.functions.metrics import ratio_text
+from quayside.functions.routing import stream_id
 from quayside.operators.packing import Cursor, SealRules, spans
-from quayside.operators.records import decode, route
+from quayside.operators.records import judge
 from quayside.operators.seal import KEYS, arrival_columns, group_starts, lane
 from quayside.operators.topics import assign_config
 from quayside.schema import HEADERS, OFFSET_RANGES
@@ -32,8 +33,9 @@ from quayside.sinks.objects import is_local, open_store, put
 
 MIB = 1024 * 1024
 
-# Rows of one Arrow batch are bounded by bytes: single records can be tens of megabytes.
-ARROW_BATCH_BYTES = 64 * MIB
+# Arrow batches are bounded by bytes, since single records can be tens of megabytes. Small
+# ones let both sides reuse their memory instead of mapping fresh pages for each batch.
+ARROW_BATCH_BYTES = 4 * MIB
 
 MANIFEST = (
     f"shard BIGINT, stream_id STRING, file_seq BIGINT, object_key STRING, record_count BIGINT, "
@@ -90,23 +92,24 @@ class LandingOptions:
         return SealRules(self.target_bytes, self.max_age_ms, self.t0_us)
 
 
-def _reject(options: LandingOptions) -> Column:
-    """The rejected record, NULL for one that lands; fails the job where asked to."""
-    message = (
-        F.when(
-            F.col("decoder").isNull(),
-            F.concat(F.lit("missing topic configuration for '"), "topic", F.lit("'")),
-        )
-        .when(
-            F.col("outcome") == "decode_error",
-            d.error_message(F.col("topic"), F.col("partition"), F.col("offset"), F.col("decoder")),
-        )
-    )
-    unknown = F.col("decoder").isNull()
+def _rows_to_land(records: DataFrame, config: DataFrame, options: LandingOptions) -> DataFrame:
+    """Everything the pass needs of a record.
+
+    One projection above the judged records: each further one would copy the value.
+    """
+    value, decoder, headers = F.col("value"), F.col("decoder"), F.col("headers")
+    outcome = F.col("outcome")
+    unknown = decoder.isNull()
+    undecodable = ~unknown & (outcome == "decode_error")
+    rejected = unknown | undecodable
+    line = envelope_line(d.body(value, decoder), headers, "\n")
+    message = F.when(
+        unknown, F.concat(F.lit("missing topic configuration for '"), "topic", F.lit("'"))
+    ).otherwise(d.error_message(F.col("topic"), F.col("partition"), F.col("offset"), decoder))
     fails = (unknown & F.lit(options.on_unknown == "fail")) | (
-        ~unknown & (F.col("outcome") == "decode_error") & F.lit(options.on_error == "fail")
+        undecodable & F.lit(options.on_error == "fail")
     )
-    row = F.struct(
+    reject = F.struct(
         "topic",
         "partition",
         F.col("offset").cast("bigint").alias("offset"),
@@ -116,40 +119,24 @@ def _reject(options: LandingOptions) -> Column:
         F.when(unknown, "Configuration").otherwise("Serialization").alias("error_class"),
         F.when(fails, F.raise_error(message)).otherwise(message).alias("message"),
     )
-    return F.when(unknown | (F.col("outcome") == "decode_error"), row)
-
-
-def _rows_to_land(records: DataFrame, config: DataFrame, options: LandingOptions) -> DataFrame:
-    decoded = route(decode(assign_config(records, config)))
-    payload = F.when(
-        F.col("decoder").isNotNull() & (F.col("outcome") == "ok"),
-        envelope_line(F.col("body"), F.col("headers"), "\n"),
-    )
     shard = lane(options.shards, options.segment_offsets)
     if options.distribution == "source":
         shard = F.spark_partition_id().cast("bigint")
-    order = arrival_columns(records)
-    rows = decoded.select(
+    # Rejected records belong to no stream; they need no order and are spread evenly.
+    scattered = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(4096))
+    return judge(assign_config(records, config)).select(
         shard.alias("shard"),
-        "stream_id",
+        F.when(~rejected, stream_id(F.col("router"), F.col("topic"), headers)).alias("stream_id"),
+        F.when(rejected, scattered).otherwise(F.lit(0)).alias("spread"),
         F.unix_micros(F.col("timestamp").cast("timestamp")).alias("t"),
-        *[c for c in order if c not in ("t", "topic", "partition", "offset")],
+        *[c for c in arrival_columns(records) if c not in ("t", "topic", "partition", "offset")],
         "topic",
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("bigint").alias("offset"),
-        payload.alias("payload"),
-        _reject(options).alias("reject"),
+        F.when(~unknown & (outcome == "ok"), line).alias("payload"),
+        F.when(rejected, reject).alias("reject"),
         F.lit(None).cast(_SEED).alias("seed"),
     )
-    # Rejected records belong to no stream; they need no order and are spread evenly.
-    rejected = F.col("reject").isNotNull()
-    scattered = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(4096))
-    return rows.withColumns(
-        {
-            "stream_id": F.when(~rejected, F.col("stream_id")),
-            "spread": F.when(rejected, scattered).otherwise(F.lit(0)),
-        }
-    )
 
 
 def _seeds(opened: DataFrame, columns: list[str], like: DataFrame) -> DataFrame:

@@ -28,8 +28,7 @@ from quayside.schema import RECORD
 from quayside.sinks.landing import LandingOptions, land, manifest, quarantined
 from quayside.sinks.objects import open_store
 
-_WATERMARKS = "topic STRING, partition INT, watermark BIGINT"
-_COMMITS = f"{_WATERMARKS}, commit_offset BIGINT"
+_WATERMARKS = "topic STRING, partition INT, previous BIGINT, watermark BIGINT"
 _RANGES = "topic STRING, partition INT, start BIGINT, `end` BIGINT"
 
 
@@ -74,41 +73,46 @@ def _table(spark: SparkSession, path: str, name: str, batch_id: int, schema: str
 
 
 def record_commits(spark: SparkSession, path: str, batch_id: int, previous: int) -> None:
-    """Advances the commit log by one batch.
+    """Advances the commit bookkeeping by one batch.
 
-    Reads only the ledger of this batch and the tracking tables of the one before:
-    `watermarks`, `outstanding` ranges above them, and `commits` for the partitions that
-    moved, for whatever else follows the source offsets.
+    Reads only the ledger of this batch and the two tables of the one before: `uploaded`
+    ranges and `watermarks` with the value they had before and have after the batch.
     """
     files = manifest(spark, path, batch_id)
     landed = files.select("status", F.explode("offsets").alias("r")).select(
         "status", "r.topic", "r.partition", "r.start", "r.end"
     )
     rejected = offset_ranges(quarantined(spark, path, batch_id))
-    held = _table(spark, path, "outstanding", previous, _RANGES)
-    uploaded = merge_ranges(
-        landed.where("status <> 'open'").drop("status").unionByName(rejected).unionByName(held)
-    )
+    known = _table(spark, path, "watermarks", previous, _WATERMARKS).select(*PARTITION, "watermark")
+    held = outstanding(_table(spark, path, "uploaded", previous, _RANGES), known)
+
+    released = landed.where("status <> 'open'").drop("status")
+    merged = merge_ranges(released.unionByName(rejected).unionByName(held))
+    uploaded = _written(merged, path, "uploaded", batch_id, _RANGES)
+
     consumed = landed.drop("status").unionByName(rejected)
     first = consumed.groupBy(*PARTITION).agg(F.min("start").alias("watermark"))
-    known = _table(spark, path, "watermarks", previous, _WATERMARKS)
-    watermarks = known.unionByName(first.join(known, list(PARTITION), "left_anti"))
+    marks = known.unionByName(first.join(known, list(PARTITION), "left_anti"))
+    moved = advance(marks, committable(uploaded, marks))
+    before = marks.withColumnRenamed("watermark", "previous")
+    _written(before.join(moved, list(PARTITION)), path, "watermarks", batch_id, _WATERMARKS)
 
-    def write(df: DataFrame, name: str, schema: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
-        return _table(spark, path, name, batch_id, schema)
 
-    commits = write(committable(uploaded, watermarks), "commits", _COMMITS)
-    moved = write(advance(watermarks, commits), "watermarks", _WATERMARKS)
-    write(outstanding(uploaded, moved), "outstanding", _RANGES)
+def _written(df: DataFrame, path: str, name: str, batch_id: int, schema: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+    return _table(df.sparkSession, path, name, batch_id, schema)
 
 
 def commit_log(spark: SparkSession, path: str) -> DataFrame:
-    """Commits of all batches: `topic, partition, watermark, commit_offset, batch_id`."""
-    return (
-        spark.read.schema(f"{_COMMITS}, batch_id BIGINT")
-        .option("basePath", f"{path}/commits")
-        .parquet(f"{path}/commits")
+    """Commits of all batches: `batch_id, topic, partition, watermark, commit_offset`."""
+    moves = (
+        spark.read.schema(f"{_WATERMARKS}, batch_id BIGINT")
+        .option("basePath", f"{path}/watermarks")
+        .parquet(f"{path}/watermarks")
+        .where(F.col("watermark") > F.col("previous"))
+    )
+    return moves.select(
+        "batch_id", *PARTITION, F.col("previous").alias("watermark"), F.col("watermark").alias("commit_offset")
     )
 
 
