@@ -67,7 +67,8 @@ def landing(spark, cpus: int) -> dict:
         best = None
         for _ in range(2):
             path = work_dir(spark, "bench")
-            options = LandingOptions(distribution=distribution)
+            # One instance, so that the files are those of the whole streams.
+            options = LandingOptions(distribution=distribution, shards=1, segment_offsets=None)
             seconds = timed(lambda: land(records, config, path, options))
             if best is None or seconds < best[0]:
                 best = (seconds, path)

@@ -46,7 +46,7 @@ def seal_rules(df: DataFrame, target_bytes: int, max_age_ms: int | None = None)
     return SealRules(target_bytes, max_age_ms, first or 0)
 
 
-def lane(shards: int = 1, segment_offsets: int | None = None) -> Column:
+def lane(shards: int = 1, segment_offsets: int | Column | None = None) -> Column:
     """The `shard` column: which packing instance a record belongs to.
 
     `shards` instances share the topic partitions. With `segment_offsets` an instance also
@@ -55,9 +55,9 @@ def lane(shards: int = 1, segment_offsets: int | None = None) -> Column:
     more than that many records of one topic partition.
     """
     shard = F.pmod(F.col("partition"), F.lit(shards)).cast("bigint")
-    if segment_offsets:
-        shard = shard + F.floor(F.col("offset") / segment_offsets) * shards
-    return shard
+    if segment_offsets is None:
+        return shard
+    return shard + F.floor(F.col("offset") / segment_offsets) * shards
 
 
 def arrival_columns(df: DataFrame) -> list[str]:

@@ -473,7 +473,7 @@ def _streamed(spark, sf_dir, carry: bool) -> str:
     for low in range(first, last + 1, step):
         part = records.where(F.col("arrival_seq").between(low, low + step - 1))
         part.drop("arrival_seq").coalesce(1).write.mode("append").parquet(stage)
-    config, options = replay_config(spark), LandingOptions(target_bytes=TARGET, segment_offsets=None)
+    config, options = replay_config(spark), LandingOptions(target_bytes=TARGET, shards=1, segment_offsets=None)
     stream = read_record_file_stream(spark, stage, files_per_batch=1)
     query = start_landing(
         stream, config, path, f"{path}/checkpoint", options, {"availableNow": True}, carry

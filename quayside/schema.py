@@ -20,7 +20,7 @@ RECORD = T.StructType(
     ]
 )
 
-TOPIC_CONFIG = "topic STRING, decoder STRING, router STRING"
+TOPIC_CONFIG = "topic STRING, decoder STRING, router STRING, segment_offsets BIGINT"
 
 OFFSET_RANGES = "ARRAY<STRUCT<topic: STRING, partition: INT, start: BIGINT, end: BIGINT>>"
 

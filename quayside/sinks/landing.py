@@ -65,7 +65,9 @@ class LandingOptions:
     `distribution="keyed"` shuffles records to their (shard, stream); "source" packs each
     input task's records where they are, without a shuffle, as if the task were an
     instance that owns that part of the input. `shards` and `segment_offsets` are those of
-    `lane` and bound what one keyed task gets.
+    `lane` and bound what one keyed task gets of a stream, however large the stream is;
+    topic configuration may set its own `segment_offsets`. One single instance, as for
+    small inputs, is `shards=1, segment_offsets=None`.
     """
 
     target_bytes: int = 50 * MIB
@@ -74,7 +76,7 @@ class LandingOptions:
     compression_level: int = 3
     max_retries: int = 3
     distribution: str = "keyed"
-    shards: int = 1
+    shards: int = 32
     segment_offsets: int | None = 250_000
     tasks: int | None = None
     on_unknown: str = "quarantine"
@@ -119,7 +121,10 @@ def _rows_to_land(records: DataFrame, config: DataFrame, options: LandingOptions
         F.when(unknown, "Configuration").otherwise("Serialization").alias("error_class"),
         F.when(fails, F.raise_error(message)).otherwise(message).alias("message"),
     )
-    shard = lane(options.shards, options.segment_offsets)
+    segment = F.lit(options.segment_offsets)
+    if options.segment_offsets is not None and "segment_offsets" in config.columns:
+        segment = F.coalesce("segment_offsets", segment)
+    shard = lane(options.shards, None if options.segment_offsets is None else segment)
     if options.distribution == "source":
         shard = F.spark_partition_id().cast("bigint")
     # Rejected records belong to no stream; they need no order and are spread evenly.

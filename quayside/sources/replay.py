@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,10 +17,13 @@ GROUPS = [
 OFFSET_BLOCK = 1 << 16
 
 
-def replay_config(spark: SparkSession, without: tuple[str, ...] = ()) -> DataFrame:
-    return topic_config(
-        spark, [(d, r, [t for t in topics if t not in without]) for d, r, topics in GROUPS]
-    )
+def replay_config(
+    spark: SparkSession,
+    without: tuple[str, ...] = (),
+    segments: Mapping[str, int] | None = None,
+) -> DataFrame:
+    groups = [(d, r, [t for t in topics if t not in without]) for d, r, topics in GROUPS]
+    return topic_config(spark, groups, segments)
 
 
 def number_offsets(df: DataFrame, sequence: str, block: int = OFFSET_BLOCK) -> DataFrame:

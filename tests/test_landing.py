@@ -15,10 +15,10 @@ from quayside.session import work_dir
 from quayside.sinks import objects
 from quayside.sinks.landing import LandingOptions, land, manifest, quarantined
 from quayside.sources.landed import read_landed
-from quayside.sources.records import read_record_file_stream, read_record_files
+from quayside.sources.records import _kafka_options, read_record_file_stream, read_record_files
 from quayside.sources.replay import replay_config, replay_events
 from quayside.sources.synthetic import BENCH_GROUPS, Profile, SMALL, synthesize_records
-from quayside.operators.topics import topic_config
+from quayside.operators.topics import suggest_segments, topic_config
 from quayside.streaming.landing import commit_log, drain, land_batch, start_landing
 
 
@@ -161,7 +161,7 @@ def staged(spark, records, parts):
 
 def test_stream_with_carry_equals_one_batch_even_after_a_repeat(spark, records, config):
     stage, path = staged(spark, records, 2), work_dir(spark, "stream")
-    options = LandingOptions(target_bytes=900, segment_offsets=None)
+    options = LandingOptions(target_bytes=900, shards=1, segment_offsets=None)
     stream = read_record_file_stream(spark, stage, files_per_batch=1)
     query = start_landing(stream, config, path, f"{path}/checkpoint", options, {"availableNow": True}, carry=True)
     query.awaitTermination()
@@ -181,3 +181,22 @@ def test_stream_with_carry_equals_one_batch_even_after_a_repeat(spark, records,
     assert rows(lines(spark, path)) == rows(expected_lines(records, config))
     ends = commit_log(spark, path).groupBy("topic", "partition").agg(F.max("commit_offset").alias("n"))
     assert rows(ends) == rows(records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("n")))
+
+
+def test_topics_set_their_own_lanes(spark, records, config):
+    path = work_dir(spark, "test")
+    own = replay_config(spark, segments={"topic-click": 7})
+    land(records, own, path, LandingOptions(shards=2, segment_offsets=None))
+    assert manifest(spark, path).agg(F.max("shard")).first()[0] == 1
+    land(records, own, path, LandingOptions(shards=2, segment_offsets=1_000), batch_id=1)
+    ranges = manifest(spark, path, 1).select(F.explode("offsets").alias("r")).select("r.*")
+    assert ranges.where("topic = 'topic-click' AND start div 7 <> `end` div 7").isEmpty()
+    assert not ranges.where("topic = 'topic-view' AND start div 7 <> `end` div 7").isEmpty()
+    suggested = {r.topic: r.segment_offsets for r in suggest_segments(manifest(spark, path, 1), 70).collect()}
+    assert suggested["topic-click"] == 1 and set(suggested) == {r.topic for r in config.collect()}
+
+
+def test_kafka_subscription(spark, config):
+    options = _kafka_options(config, {"kafka.bootstrap.servers": "broker:9092"})
+    assert options["subscribe"] == "dlq,topic-click,topic-purchase,topic-signup,topic-view"
+    assert (options["includeHeaders"], options["failOnDataLoss"]) == ("true", "false")
