@@ -17,20 +17,25 @@ BLOCK = 1 << 15
 
 
 def _stitch(pieces: DataFrame, keys: Sequence[str], block: int) -> DataFrame:
-    """Joins pieces across block edges. Pieces lie within a block and are maximal there."""
-    left = F.pmod(F.col("start"), F.lit(block)) == 0
-    right = F.pmod(F.col("end"), F.lit(block)) == block - 1
-    inner = pieces.where(~(left | right))
-    order = Window.partitionBy(*keys).orderBy("start")
-    runs = (
-        pieces.where(left | right)
+    """Joins pieces across block edges. Pieces lie within a block and are maximal there.
+
+    Pieces that touch an edge meet in one group per key, at most two from each block. The
+    others stay in groups by block, where no two are adjacent.
+    """
+    at_edge = (F.pmod(F.col("start"), F.lit(block)) == 0) | (
+        F.pmod(F.col("end"), F.lit(block)) == block - 1
+    )
+    cell = F.when(at_edge, F.lit(-1)).otherwise(F.floor(F.col("start") / block))
+    group = [*keys, "cell"]
+    order = Window.partitionBy(*group).orderBy("start")
+    return (
+        pieces.withColumn("cell", cell)
         .withColumn("fresh", F.col("start") != F.lag("end", 1).over(order) + 1)
         .withColumn("run", F.count_if(F.coalesce("fresh", F.lit(True))).over(order))
-        .groupBy(*keys, "run")
+        .groupBy(*group, "run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .drop("run")
+        .drop("cell", "run")
     )
-    return inner.unionByName(runs)
 
 
 def offset_ranges(
@@ -141,44 +146,37 @@ def offset_backlog(tracked: DataFrame) -> DataFrame:
     return tracked.agg(held.alias("offsets_held"), (held * 8).alias("offsets_size_b"))
 
 
-def _next_start(ranges: DataFrame, block: int) -> DataFrame:
-    """Adds `next_start`: where the following range of the same partition begins."""
+def _with_previous(ranges: DataFrame, block: int) -> DataFrame:
+    """Adds `previous`: where the range before in the same partition ends.
+
+    Ranges are ordered within blocks of their starts, and one row per block is ordered
+    across blocks.
+    """
     blocked = ranges.withColumn("block", F.floor(F.col("start") / block))
     inside = Window.partitionBy(*PARTITION, "block").orderBy("start")
     across = Window.partitionBy(*PARTITION).orderBy("block")
-    heads = (
+    tails = (
         blocked.groupBy(*PARTITION, "block")
-        .agg(F.min("start").alias("head"))
-        .withColumn("next_head", F.lead("head").over(across))
-        .drop("head")
+        .agg(F.max("end").alias("tail"))
+        .withColumn("before", F.lag("tail").over(across))
+        .drop("tail")
     )
     return (
-        blocked.withColumn("inside", F.lead("start").over(inside))
-        .join(heads, [*PARTITION, "block"])
-        .withColumn("next_start", F.coalesce("inside", "next_head"))
-        .drop("block", "inside", "next_head")
+        blocked.withColumn("inside", F.lag("end").over(inside))
+        .join(tails, [*PARTITION, "block"])
+        .withColumn("previous", F.coalesce("inside", "before"))
+        .drop("block", "inside", "before")
     )
 
 
 def commit_gaps(uploaded: DataFrame, watermarks: DataFrame, block: int = BLOCK) -> DataFrame:
     """Missing ranges at or above the watermark that hold back later uploaded offsets."""
     tracked = outstanding(uploaded, watermarks).join(watermarks, list(PARTITION))
-    first = tracked.groupBy(*PARTITION, "watermark").agg(F.min("start").alias("first"))
-    head = first.where(F.col("first") > F.col("watermark")).select(
-        *PARTITION,
-        F.col("watermark").alias("gap_start"),
-        (F.col("first") - 1).alias("gap_end"),
-    )
-    between = (
-        _next_start(tracked, block)
-        .where(F.col("next_start").isNotNull())
-        .select(
-            *PARTITION,
-            (F.col("end") + 1).alias("gap_start"),
-            (F.col("next_start") - 1).alias("gap_end"),
-        )
+    gap_start = F.coalesce(F.col("previous") + 1, F.col("watermark"))
+    gaps = _with_previous(tracked, block).select(
+        *PARTITION, gap_start.alias("gap_start"), (F.col("start") - 1).alias("gap_end")
     )
-    return head.unionByName(between).withColumn(
+    return gaps.where(F.col("gap_end") >= F.col("gap_start")).withColumn(
         "missing", F.col("gap_end") - F.col("gap_start") + 1
     )
 
@@ -191,12 +189,12 @@ def observed_next(uploaded: DataFrame, consumed: DataFrame, block: int = BLOCK)
     between two of them counts as uploaded.
     """
     holes = (
-        _next_start(consumed, block)
-        .where(F.col("next_start").isNotNull())
+        _with_previous(consumed, block)
+        .where(F.col("previous").isNotNull())
         .select(
             *PARTITION,
-            (F.col("end") + 1).alias("start"),
-            (F.col("next_start") - 1).alias("end"),
+            (F.col("previous") + 1).alias("start"),
+            (F.col("start") - 1).alias("end"),
         )
     )
     return merge_ranges(uploaded.select(*PARTITION, "start", "end").unionByName(holes), block=block)

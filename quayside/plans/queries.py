@@ -323,7 +323,9 @@ def _uploaded(spark, sf_dir) -> DataFrame:
     sealed = planned.join(full_files(planned, rules), ["shard", "stream_id", "file_seq"], "left_semi")
     rejected = records.where("outcome = 'decode_error'")
     address = ["topic", "partition", "offset"]
-    return offsets.offset_ranges(sealed.select(*address).unionByName(rejected.select(*address)))
+    ranges = offsets.offset_ranges(sealed.select(*address).unionByName(rejected.select(*address)))
+    # A few ranges that several steps read, as the stored ones of a streaming run would be.
+    return ranges.checkpoint()
 
 
 def uploaded_offsets(spark, sf_dir):
@@ -331,7 +333,7 @@ def uploaded_offsets(spark, sf_dir):
 
 
 def _watermarks(spark, sf_dir) -> DataFrame:
-    return stats.initial_watermarks(replay_events(spark, sf_dir, offsets=True))
+    return stats.initial_watermarks(replay_events(spark, sf_dir, offsets=True)).checkpoint()
 
 
 def committable(spark, sf_dir):
@@ -390,7 +392,7 @@ def lineitem_commits(spark, sf_dir):
 def lineitem_gaps(spark, sf_dir):
     deliveries = _line_offsets(spark, sf_dir)
     first = deliveries.groupBy("topic", "partition").agg(F.min("offset").alias("watermark"))
-    return offsets.commit_gaps(offsets.offset_ranges(deliveries), first)
+    return offsets.commit_gaps(offsets.offset_ranges(deliveries).checkpoint(), first)
 
 
 def observed_commits(spark, sf_dir):
