@@ -326,7 +326,7 @@ FROM f WHERE outcome = 'decode_error'"""
         """SELECT line, replace(stream_id, chr(31), '/') AS stream, CAST(ts AS DATE) AS ingest_year_month_day
 FROM f WHERE outcome = 'ok'"""
     ),
-    "stream_pipeline": _records(
+    "stream_landing": _records(
         """SELECT stream_id, count(*) AS record_count, count(*) FILTER (WHERE line_bytes > 0) AS line_count,
     CAST(sum(line_bytes) AS BIGINT) AS raw_size_b FROM c GROUP BY stream_id"""
     ),

@@ -486,7 +486,7 @@ def _streamed(spark, sf_dir, carry: bool) -> str:
     return path
 
 
-def stream_pipeline(spark, sf_dir):
+def stream_landing(spark, sf_dir):
     """Lines and records per stream after a streaming run, by its ledger."""
     files = manifest(spark, _streamed(spark, sf_dir, carry=False))
     return files.groupBy("stream_id").agg(
@@ -560,7 +560,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_source": landed_source,
     "landed_quarantine": landed_quarantine,
     "landed_fast": landed_fast,
-    "stream_pipeline": stream_pipeline,
+    "stream_landing": stream_landing,
     "stream_carry": stream_carry,
     "stream_commits": stream_commits,
 }

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quayside.functions import decode as d
 from quayside.functions.envelope import envelope_line
@@ -36,6 +37,7 @@ MIB = 1024 * 1024
 # Arrow batches are bounded by bytes, since single records can be tens of megabytes. Small
 # ones let both sides reuse their memory instead of mapping fresh pages for each batch.
 ARROW_BATCH_BYTES = 4 * MIB
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 MANIFEST = (
     f"shard BIGINT, stream_id STRING, file_seq BIGINT, object_key STRING, record_count BIGINT, "
@@ -354,12 +356,9 @@ def land(
     `finalize=False` the last file of a stream stays open unless `now_us` finds it old
     enough, and `opened` (the open manifest rows of the batch before) is carried on.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     spark = records.sparkSession
     if sealed_us is None:
         sealed_us = spark.sql("SELECT unix_micros(current_timestamp())").first()[0]
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     rows = _rows_to_land(records, config, options)
     if opened is not None:
         if options.distribution != "keyed":
@@ -378,7 +377,13 @@ def land(
         return _Lander(path, batch_id, sealed_us, options, finalize, now_us, schema).run(batches)
 
     ledger = rows.mapInArrow(pack, LEDGER)
-    ledger.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/ledger/batch_id={batch_id}")
+    before = spark.conf.get(_BATCH_BYTES)
+    spark.conf.set(_BATCH_BYTES, str(ARROW_BATCH_BYTES))
+    try:
+        writer = ledger.write.mode("overwrite").partitionBy("kind")
+        writer.parquet(f"{path}/ledger/batch_id={batch_id}")
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
 
 
 def _ledger(spark: SparkSession, path: str, batch_id: int | None) -> DataFrame:

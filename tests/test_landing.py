@@ -200,3 +200,31 @@ def test_kafka_subscription(spark, config):
     options = _kafka_options(config, {"kafka.bootstrap.servers": "broker:9092"})
     assert options["subscribe"] == "dlq,topic-click,topic-purchase,topic-signup,topic-view"
     assert (options["includeHeaders"], options["failOnDataLoss"]) == ("true", "false")
+
+
+def test_age_seals_carried_files(spark, config):
+    def batch(start, streams):
+        rows = [
+            ("topic-click", 0, start + i, None, b"\x00" * 5 + b"{}", [("schema_name", name.encode())])
+            for i, name in enumerate(streams)
+        ]
+        df = spark.createDataFrame(rows, RECORD)
+        return df.withColumn("timestamp", F.timestamp_seconds(F.col("offset") * 10))
+
+    path = work_dir(spark, "test")
+    options = LandingOptions(target_bytes=10_000, max_age_ms=100_000, shards=1, segment_offsets=None)
+
+    def step(batch_id, rows, now_s):
+        opened = manifest(spark, path, batch_id - 1).where("status = 'open'") if batch_id else None
+        land(
+            rows, config, path, options, batch_id, sealed_us=now_s * 1_000_000,
+            finalize=False, now_us=now_s * 1_000_000, opened=opened,
+        )
+        found = manifest(spark, path, batch_id).collect()
+        return sorted((r.stream_id.split("\x1f")[0], r.seal_reason, r.record_count, r.sealed_us // 10**6) for r in found)
+
+    assert step(0, batch(0, ["a", "b"]), 20) == [("a", "open", 1, 20), ("b", "open", 1, 20)]
+    # No new record for "a": the clock alone closes it. "b" grows and stays open.
+    assert step(1, batch(3, ["b"]), 105) == [("a", "dormant", 1, 100), ("b", "open", 2, 105)]
+    # "b" was due before this record came, so the record starts a new file.
+    assert step(2, batch(50, ["b"]), 510) == [("b", "dormant", 2, 110), ("b", "open", 1, 510)]
