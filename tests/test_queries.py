@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from quayside.plans.queries import QUERIES as PLAN_QUERIES
 from tests.compare import actual, duck, expected
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES = {name: query for name, query in entry_module.queries().items() if name in PLAN_QUERIES}
+ORACLES = {name: sql for name, sql in entry_module.oracle_sql().items() if name in PLAN_QUERIES}
 
 
 @pytest.fixture(scope="module")
