@@ -31,6 +31,8 @@ DICTIONARY_BYTES = 32 << 10
 LEVEL = 3
 CHUNK = 64 << 10
 MAX_RETRIES = 3
+#: Tasks that read archives, at most; each reads one archive after the other.
+READ_TASKS = 10_000
 
 MANIFEST = "archive string, n_records long, raw_bytes long, stored_bytes long"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
@@ -222,7 +224,8 @@ def read_archives(spark: SparkSession, path: str, manifest: DataFrame) -> DataFr
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    dealt = manifest.select("archive").repartition(F.col("archive"))
+    # A set number of partitions is not merged again: the rows are small, the archives are not.
+    dealt = manifest.select("archive").repartition(min(READ_TASKS, max(1, manifest.count())))
     return dealt.mapInArrow(read, RECORD)
 
 
