@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.llm import decontaminate, language, near_duplicates, packing, pii
 from quayside.llm.common import stage, table
@@ -19,10 +18,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model is learned from the documents' own lang values, those of three folds in four.
     """
     prepare(spark)
-    found = stage(language.identify_held_out(docs), "languages")
-    rejected = found.filter((F.col("lang_pred") == language.UNKNOWN) | (F.col("score") < LEAST_SHARE))
-    rejected = stage(rejected.select(F.col("doc_id").alias("__gone")).distinct(), "rejected")
-    return docs.join(rejected, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    return language.keep_identified(docs, LEAST_SHARE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

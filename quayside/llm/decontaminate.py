@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -157,19 +158,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
     The benchmark is sent to the tasks in blocks of at most BLOCK_CHARS characters and one item,
     with one pass over the documents for each; nothing is shuffled.
     """
-    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = [rows.mapInArrow(_searcher(index, coverage), FOUND) for index in _indexes(benchmark, min_tile)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _indexes(benchmark: DataFrame, min_tile: int) -> list:
+    """Broadcast indexes of the benchmark, block by block."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("item_id IS NOT NULL AND length(text) > 0")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = groups_of(size, BLOCK_CHARS // 2)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = None
+    out = []
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text")
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part.collect()], min_tile))
-        hits = rows.mapInArrow(_searcher(index, coverage), FOUND)
-        found = hits if found is None else found.unionByName(hits)
-    return found
+        out.append(spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part.collect()], min_tile)))
+    return out
 
 
 def _searcher(index, coverage: float):
@@ -188,7 +193,18 @@ def _searcher(index, coverage: float):
     return search
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min_tile: int = MIN_TILE) -> DataFrame:
     """The rows of `docs`, with all their columns, whose text holds no item of the benchmark."""
-    held = overlaps(docs, benchmark, coverage).select(F.col("doc_id").alias("__held")).distinct()
-    return docs.join(held, docs["doc_id"].cast("long") == F.col("__held"), "left_anti")
+
+    def filtered(rows: DataFrame, index) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                held = np.zeros(batch.num_rows, bool)
+                held[[t for t, *_ in index.value.search(batch["__text"].to_pylist(), coverage)]] = True
+                yield batch.select(["__row"]).filter(pa.array(~held))
+
+        marked = rows.withColumn("__text", F.col("__row.text").cast("string"))
+        return marked.mapInArrow(keep, rows.schema)
+
+    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("__row"))
+    return reduce(filtered, _indexes(benchmark, min_tile), rows).select("__row.*")

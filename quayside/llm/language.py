@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quayside.llm.common import slices
 
@@ -194,20 +195,19 @@ def train(labelled: DataFrame) -> Model:
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score and languages for each row of `docs`, from its text alone.
+    """__row (all columns of `docs`), lang_pred, score and languages, from each row's text alone.
 
     lang_pred has the largest share of the selected languages (ties: the first by name) and score
     is that share; languages lists the selected ones as name:share, largest first. Texts that are
     null or have no letter, and all texts if the model has no language, are `und` with score 0. A
-    text with letters but no trigram takes the first language with score 0. Each row gives one
-    row; other columns are ignored.
+    text with letters always has a trigram. Each row gives one row, in place and without a shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, names = shared.value, shared.value.languages
         for batch in slices(batches):
-            doc_ids, letters = batch["doc_id"], batch["lettered"].to_pylist()
+            rows, letters = batch["__row"], batch["lettered"].to_pylist()
             for start, texts in _chunks(batch["text"].to_pylist()):
                 best, score, sets = [], [], []
                 for share, lettered in zip(fitted.mixtures(texts), letters[start : start + len(texts)], strict=True):
@@ -217,17 +217,20 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     score.append(min(1.0, float(share[order[0]])) if known else 0.0)
                     sets.append(",".join(f"{names[j]}:{share[j]:.3f}" for j in order if share[j] > 0) if known else "")
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(start, len(texts)), pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pa.string())],
-                    ["doc_id", "lang_pred", "score", "languages"],
+                    [rows.slice(start, len(texts)), pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pa.string())],
+                    ["__row", "lang_pred", "score", "languages"],
                 )
 
     text = F.col("text").cast("string")
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.struct(*(F.col(c) for c in docs.columns)).alias("__row"),
         text.alias("text"),
         F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
     )
-    return rows.mapInArrow(predict, "doc_id long, lang_pred string, score double, languages string")
+    schema = StructType([rows.schema["__row"]])
+    for name, kind in (("lang_pred", "string"), ("score", "double"), ("languages", "string")):
+        schema = schema.add(name, kind)
+    return rows.mapInArrow(predict, schema)
 
 
 def remainder(modulus: int) -> F.Column:
@@ -238,7 +241,16 @@ def remainder(modulus: int) -> F.Column:
 def identify_held_out(docs: DataFrame) -> DataFrame:
     """Learns from the documents whose remainder modulo 4 is not 2 and predicts all of them."""
     model = train(docs.filter(remainder(4) != 2))
-    held = docs.select("doc_id", "text")
+    # Only the text is read here; lang and source are not there to be used.
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return identify(held, model).select(
+        F.col("__row.doc_id").alias("doc_id"), "lang_pred", "score", "languages"
+    ).select(
         "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "languages"
     )
+
+
+def keep_identified(docs: DataFrame, least_share: float) -> DataFrame:
+    """The rows of `docs`, with all their columns, that have a language with at least this share."""
+    found = identify(docs, train(docs.filter(remainder(4) != 2)))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_share)).select("__row.*")

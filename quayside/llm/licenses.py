@@ -63,7 +63,7 @@ SENTENCES = {
     "lgpl-version": "Version 2.1, February 1999",
     "agpl-title": "GNU AFFERO GENERAL PUBLIC LICENSE",
     "agpl-version": "Version 3, 19 November 2007",
-    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
     "cc-by-nc-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-notice": "Licensed under CC BY 4.0.",
     "cc-by-sa-notice": "Licensed under CC BY-SA 4.0.",

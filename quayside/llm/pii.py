@@ -36,7 +36,7 @@ WIDE = [
     ),
     ("ip", r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"),
     ("card", r"(?<![0-9])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])", r"[0-9](?:[ -]?[0-9]){15}"),
-    ("phone", r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])", r"\+[0-9]"),
+    ("phone", r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2}(?![0-9])", r"\+[0-9]"),
     ("phone", r"(?<![0-9+().-])(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])", r"[0-9]{3}[ .-][0-9]{4}"),
 ]
 

@@ -16,6 +16,10 @@ CLASS_WORDS = 16
 WINDOW = 32
 RATE = 0.01
 CLIP = 5.0
+#: Keeps parameters with hardly any gradient, as those of rare words, from moving like others.
+DAMPING = 1e-5
+#: A step on fewer tokens, as at the end of the longest documents, is smaller in proportion.
+FULL_STEP = 2048
 #: Rows of output that are computed together while scoring.
 SCORED_ROWS = 16384
 
@@ -67,7 +71,7 @@ class Network:
             "u": near(HIDDEN, 3 * HIDDEN),
             "b": np.zeros(3 * HIDDEN, np.float32),
             "cw": near(HIDDEN, self.classes),
-            # The start is the frequency of each class, and of each word in its class.
+            # The start is about the frequency of each class, and of each word in its class.
             "cb": np.log(by_class.sum(axis=1) / frequency.sum()).astype(np.float32),
             "ow": near(size, HIDDEN),
             "ob": word_bias.reshape(-1).astype(np.float32),
@@ -250,7 +254,7 @@ class Network:
         by_word = np.zeros_like(projected)
         by_word[flat[order][starts]] = np.add.reduceat(rows[order], starts, axis=0)
         grads |= {"u": du, "w": p["embed"].T @ by_word, "b": by_word.sum(axis=0), "embed": by_word @ p["w"].T}
-        self._step(grads, max(1, int(there.sum())))
+        self._step(grads, max(FULL_STEP, int(there.sum())))
         return states[-1].copy()
 
     def _step(self, grads: dict[str, np.ndarray], count: int) -> None:
@@ -264,4 +268,4 @@ class Network:
             first += np.float32(0.1) * (g - first)
             second += np.float32(0.01) * (g * g - second)
             a, b = first / (1 - 0.9**self._steps), second / (1 - 0.99**self._steps)
-            self.p[k] = (self.p[k] - RATE * a / (np.sqrt(b) + 1e-8)).astype(np.float32)
+            self.p[k] = (self.p[k] - RATE * a / (np.sqrt(b) + DAMPING)).astype(np.float32)

@@ -25,7 +25,9 @@ BLOCK_ROWS = 4096
 #: Rounds of training; each learns from a part of the documents, in all from each once.
 ROUNDS = 2
 #: Of each document's windows, every so many is learned from; all are read for the state.
-STRIDE = 8
+STRIDE = 4
+#: Documents that learn side by side, one step for a window of all of them.
+LANES = 256
 #: Replicas are added up in groups of so many until so many are left.
 FAN_IN = 64
 
@@ -131,9 +133,9 @@ def _train(blocks: DataFrame, known: dict[bytes, int], network: Network) -> None
                     task = block
                     held.append(_numbers(words_of(text), names))
                     if len(held) == BLOCK_ROWS:
-                        learned, part, held = learned + mine.train(Documents(held), STRIDE, part + block), part + 1, []
+                        learned, part, held = learned + _learn_all(mine, held, part + block), part + 1, []
             if held:
-                learned += mine.train(Documents(held), STRIDE, part + task)
+                learned += _learn_all(mine, held, part + task)
             if learned:
                 weighted = np.frombuffer(mine.to_bytes(), np.float32).astype(np.float64) * learned
                 yield pa.RecordBatch.from_pydict({"task": [task], "learned": [learned], "params": [weighted.tobytes()]})
@@ -149,6 +151,16 @@ def _train(blocks: DataFrame, known: dict[bytes, int], network: Network) -> None
             network.load(total / sum(r["learned"] for r in rows))
 
 
+def _learn_all(network: Network, ids: list[np.ndarray], phase: int) -> int:
+    """Documents of like length learn side by side, LANES at a time; the order is random."""
+    ids = sorted(ids, key=len)
+    groups = [ids[i : i + LANES] for i in range(0, len(ids), LANES)]
+    learned = 0
+    for i in np.random.default_rng(phase % 2**32).permutation(len(groups)).tolist():
+        learned += network.train(Documents(groups[i]), STRIDE, phase + i)
+    return learned
+
+
 def _added(rows: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(x.as_buffer(), np.float64) for x in rows["params"])
     learned = sum(rows["learned"].to_pylist())

@@ -17,6 +17,7 @@ TOP = 10
 BLOCK_ROWS = 8192
 #: Queries that are sent to the tasks at a time; larger query sets take more passes.
 QUERY_BLOCK = 4096
+LONG = 2**63
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -90,7 +91,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, scale: int = SCA
     columns of `vectors`. A row is not its own candidate: rows with the query's vec_id are left
     out. Fewer than k other rows give them all; only rows of the query's own length are compared.
     Vectors that are null or hold null or non-finite components, and rows without vec_id, take no
-    part. Repeated rows are one row. Tables without rows give none.
+    part. Repeated rows are one row. Scores beyond the range of a long are its ends. Tables without rows give none.
 
     Each task sorts the components of its rows, block by block, and runs the threshold algorithm
     for every query; per block and query k rows go to the final ranking. Queries are sent to the
@@ -132,7 +133,7 @@ def _searcher(block, k: int):
                 both = _exact([v for _, v in mine] + [v for _, v in asked])
                 lists = SortedLists(np.array([i for i, _ in mine], np.int64), both[: len(mine)])
                 for (query_id, _), query in zip(asked, both[len(mine) :], strict=True):
-                    out += [(query_id, i, int(s)) for s, i in lists.search(query_id, query, k)]
+                    out += [(query_id, i, min(max(int(s), -LONG), LONG - 1)) for s, i in lists.search(query_id, query, k)]
             columns = zip(*out, strict=True) if out else ((), (), ())
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
