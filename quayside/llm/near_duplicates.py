@@ -210,10 +210,19 @@ def _untested(docs: DataFrame, classes: DataFrame, members: DataFrame, labels: D
     rest = stage(rest.join(mixed, "key"), "mixed-members")
     pairs = mixed.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2)).first()[0] or 0
     if pairs > UNTESTED_PAIRS:
-        rest = stage(rest.join(_may_link(docs, classes, rest), "cls").drop("s"), "mixed-members")
-    rest = stage(rest.join(classes.select("cls", "n", "sketch"), "cls"), "mixed-members")
+        rest = stage(rest.join(_may_link(docs, classes, rest), "cls"), "mixed-members")
+    else:
+        rest = rest.withColumn("s", F.lit(None).cast("long"))
+    rest = rest.join(classes.select("cls", "n", "sketch", "bands"), "cls").withColumn("s", F.coalesce("s", "n"))
+    rest = stage(rest, "mixed-members")
     a, b = rest.alias("a"), rest.alias("b")
+    # Two sets share no more than the shingles of either that are in any other set at all.
+    most = F.least("a.s", "b.s")
     near = _alike(F.col("a.n"), F.col("b.n"), F.col("a.sketch"), F.col("b.sketch"))
+    # A pair comes out of its first common bucket only. If one is the center there, it was tested.
+    first = F.array_min(F.array_intersect("a.bands", "b.bands")) == F.col("a.key")
+    near &= 100 * most >= THRESHOLD * (F.col("a.n") + F.col("b.n") - most)
+    near &= first
     return (
         a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.comp") != F.col("b.comp")) & near)
         .select(F.col("a.cls").alias("u"), F.col("b.cls").alias("v"))
