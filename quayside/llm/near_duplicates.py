@@ -149,14 +149,19 @@ def _alike(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column) -> Colu
     return (100 * F.least(n_a, n_b) >= THRESHOLD * F.greatest(n_a, n_b)) & (bits <= most_different_bits())
 
 
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of `pairs` (u, v: classes) that reach the threshold on their full sets, written out."""
+def _screened(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of `pairs` (u, v: classes) that sizes and sketches leave, with the documents to read."""
     side = lambda x: classes.select(
         F.col("cls").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")
     )
     near = pairs.join(side("u"), "u").join(side("v"), "v")
     near = near.filter(_alike(F.col("n_u"), F.col("n_v"), F.col("s_u"), F.col("s_v")))
-    near = stage(near.select("u", "v", "rep_u", "rep_v"), "near-pairs")
+    return near.select("u", "v", "rep_u", "rep_v")
+
+
+def _links(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """Those of the screened pairs that reach the threshold on their full sets, written out."""
+    near = stage(near, "near-pairs")
     ends = near.select(F.col("rep_u").alias("rep"), F.col("u").alias("cls")).union(near.select("rep_v", "v")).distinct()
     sets = stage(_sets(docs, stage(ends, "near-classes")), "shingle-sets", "none")
 
@@ -201,7 +206,7 @@ def _may_link(docs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
 
 
 def _untested(docs: DataFrame, classes: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (u, v) of one bucket that no link has joined yet and that were not tested."""
+    """Screened pairs of one bucket that no link has joined yet and that were not tested."""
     comp = F.coalesce("label", "cls")
     rest = members.filter("cls <> center").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", comp)
     rest = stage(rest.select("key", "cls", "comp"), "untested-members")
@@ -213,7 +218,7 @@ def _untested(docs: DataFrame, classes: DataFrame, members: DataFrame, labels: D
         rest = stage(rest.join(_may_link(docs, classes, rest), "cls"), "mixed-members")
     else:
         rest = rest.withColumn("s", F.lit(None).cast("long"))
-    rest = rest.join(classes.select("cls", "n", "sketch", "bands"), "cls").withColumn("s", F.coalesce("s", "n"))
+    rest = rest.join(classes.select("cls", "rep", "n", "sketch", "bands"), "cls").withColumn("s", F.coalesce("s", "n"))
     rest = stage(rest, "mixed-members")
     a, b = rest.alias("a"), rest.alias("b")
     # Two sets share no more than the shingles of either that are in any other set at all.
@@ -225,7 +230,7 @@ def _untested(docs: DataFrame, classes: DataFrame, members: DataFrame, labels: D
     near &= first
     return (
         a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.comp") != F.col("b.comp")) & near)
-        .select(F.col("a.cls").alias("u"), F.col("b.cls").alias("v"))
+        .select(F.col("a.cls").alias("u"), F.col("b.cls").alias("v"), F.col("a.rep").alias("rep_u"), F.col("b.rep").alias("rep_v"))
         .distinct()
     )
 
@@ -264,11 +269,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = stage(filed.join(stage(centers, "centers"), "key").select("key", "cls", "center"), "bucket-centers")
 
     stars = members.filter("cls <> center").select(F.least("cls", "center").alias("u"), F.greatest("cls", "center").alias("v"))
-    links = _links(docs, classes, stage(stars.distinct(), "star-pairs"))
+    links = _links(docs, _screened(classes, stage(stars.distinct(), "star-pairs")))
     labels = components(links)
     more = stage(_untested(docs, classes, members, labels), "untested-pairs")
     if not more.isEmpty():
-        labels = components(links.union(_links(docs, classes, more)))
+        labels = components(links.union(_links(docs, more)))
 
     grouped = classes.select("cls", "rep").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     grouped = stage(grouped.select("cls", "rep", F.coalesce("label", "cls").alias("label")), "grouped")
