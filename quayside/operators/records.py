@@ -19,7 +19,8 @@ def judge(records: DataFrame) -> DataFrame:
     compiled together with the scan; what follows need not look at the value again.
     """
     sized = records.withColumn("body_bytes", d.body_size(F.col("value"), F.col("decoder")))
-    return sized.withColumn("outcome", d.outcome(F.col("body_bytes")))
+    known = F.when(F.col("decoder").isNull(), "unconfigured").otherwise(d.outcome(F.col("body_bytes")))
+    return sized.withColumn("outcome", known)
 
 
 def decode(records: DataFrame) -> DataFrame:
@@ -68,8 +69,8 @@ def decode_errors(decoded: DataFrame) -> DataFrame:
 
 
 def consumed(decoded: DataFrame) -> DataFrame:
-    """Records that enter a stream: written and skipped ones, not undecodable ones."""
-    return decoded.where(F.col("outcome") != "decode_error")
+    """Records that enter a stream: written and skipped ones, not undecodable or unconfigured ones."""
+    return decoded.where(~F.col("outcome").isin("decode_error", "unconfigured"))
 
 
 def dropped_headers(records: DataFrame) -> DataFrame:

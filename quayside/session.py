@@ -51,11 +51,13 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`.
 
-    Only a session without that setting (a test on one machine) gets a folder of its own.
+    Only a session on one machine may be without that setting; it gets a folder of its own.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="quayside-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

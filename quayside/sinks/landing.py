@@ -67,9 +67,9 @@ class LandingOptions:
     `distribution="keyed"` shuffles records to their (shard, stream); "source" packs each
     input task's records where they are, without a shuffle, as if the task were an
     instance that owns that part of the input. `shards` and `segment_offsets` are those of
-    `lane` and bound what one keyed task gets of a stream, however large the stream is;
-    topic configuration may set its own `segment_offsets`. One single instance, as for
-    small inputs, is `shards=1, segment_offsets=None`.
+    `lane`. Shards spread a stream over instances; segments also end files after so many
+    offsets, whatever their size, and are only cut if asked for. Topic configuration may
+    then set its own. One single instance, as for small inputs, is `shards=1`.
     """
 
     target_bytes: int = 50 * MIB
@@ -79,7 +79,7 @@ class LandingOptions:
     max_retries: int = 3
     distribution: str = "keyed"
     shards: int = 32
-    segment_offsets: int | None = 250_000
+    segment_offsets: int | None = None
     tasks: int | None = None
     on_unknown: str = "quarantine"
     on_error: str = "quarantine"

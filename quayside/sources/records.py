@@ -16,11 +16,11 @@ def subscription(config: DataFrame) -> str:
 
 
 def _kafka_options(config: DataFrame, options: Mapping[str, str]) -> dict[str, str]:
-    # Vanished partitions are skipped rather than fatal; `options` may say otherwise.
+    # Offsets that are gone are an error; to skip them and vanished topics, `options` must say so.
     return {
         "subscribe": subscription(config),
         "includeHeaders": "true",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         **options,
     }
 

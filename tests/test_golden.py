@@ -166,3 +166,27 @@ def test_rate(spark):
     values = [(10, 4.0, 2.5), (1, 3.0, 0.33), (5, 0.0, 0.0), (2, 3.0, 0.67)]
     df = spark.createDataFrame(values, "n BIGINT, s DOUBLE, want DOUBLE")
     assert all(r.got == r.want for r in df.select("*", rate(F.col("n"), F.col("s")).alias("got")).collect())
+
+
+def test_unconfigured_topics_enter_no_stream(spark):
+    """Whatever their value: it has no outcome of its own, no error and no place in a file."""
+    import datetime
+
+    from quayside.operators.packing import SealRules
+    from quayside.operators.records import consumed, decode_errors, process
+    from quayside.operators.seal import plan_files
+    from quayside.operators.topics import topic_config
+    from quayside.schema import RECORD
+
+    config = topic_config(spark, [("string", "topic_version", ["known"])])
+    names = RECORD.fieldNames()
+    values = {"partition": 0, "timestamp": datetime.datetime(2024, 1, 1), "headers": None, "arrival_seq": None}
+    made = [
+        {**values, "topic": t, "offset": i, "value": v}
+        for i, (t, v) in enumerate([("known", b"a"), ("other", None), ("other", b""), ("other", b"x")])
+    ]
+    records = spark.createDataFrame([tuple(r.get(n) for n in names) for r in made], RECORD)
+    rows = process(records.withColumn("arrival_seq", records["offset"]), config)
+    assert sorted(r.outcome for r in rows.collect()) == ["ok", "unconfigured", "unconfigured", "unconfigured"]
+    assert decode_errors(rows).collect() == []
+    assert plan_files(consumed(rows), SealRules(900)).count() == 1

@@ -199,7 +199,7 @@ def test_topics_set_their_own_lanes(spark, records, config):
 def test_kafka_subscription(spark, config):
     options = _kafka_options(config, {"kafka.bootstrap.servers": "broker:9092"})
     assert options["subscribe"] == "dlq,topic-click,topic-purchase,topic-signup,topic-view"
-    assert (options["includeHeaders"], options["failOnDataLoss"]) == ("true", "false")
+    assert (options["includeHeaders"], options["failOnDataLoss"]) == ("true", "true")
 
 
 def test_age_seals_carried_files(spark, config):
