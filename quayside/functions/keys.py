@@ -45,21 +45,21 @@ def object_key(parts: Column, sealed_at: Column, suffix: Column, escape: bool =
     )
 
 
-def file_suffix(batch_id: Column, shard: Column, stream: Column, file_seq: Column) -> Column:
+def file_suffix(run_id: Column, batch_id: Column, shard: Column, stream: Column, file_seq: Column) -> Column:
     """Eight hex characters that are the same again when a task or a batch is rerun."""
     identity = F.concat_ws(
-        "|", batch_id.cast("string"), shard.cast("string"), stream, file_seq.cast("string")
+        "|", run_id, batch_id.cast("string"), shard.cast("string"), stream, file_seq.cast("string")
     )
     return F.substring(F.sha2(identity, 256), 1, 8)
 
 
-def landed_suffix(stream: str, batch_id: int, shard: int, file_seq: int) -> str:
+def landed_suffix(stream: str, run_id: str, batch_id: int, shard: int, file_seq: int) -> str:
     """`file_suffix`, then shard and file number.
 
     A batch gives all its files one seal time, and a large stream has more files in it than
     eight hex characters can tell apart; the numbers make the name unique in the batch.
     """
-    identity = f"{batch_id}|{shard}|{stream}|{file_seq}".encode()
+    identity = f"{run_id}|{batch_id}|{shard}|{stream}|{file_seq}".encode()
     return f"{hashlib.sha256(identity).hexdigest()[:8]}-{shard}-{file_seq}"
 
 

@@ -318,6 +318,7 @@ FROM filled JOIN files USING (shard, stream_id, file_seq) WHERE seal_reason = 'f
     ),
     "landed_roundtrip": _LINE_ROWS,
     "landed_source": _LINE_ROWS,
+    "landed_two_runs": _LINE_ROWS,
     "landed_quarantine": _records(
         f"""SELECT topic, "partition", "offset", 'Serialization' AS error_class, {_MESSAGE}
 FROM f WHERE outcome = 'decode_error'"""

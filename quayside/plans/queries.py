@@ -455,6 +455,18 @@ def landed_source(spark, sf_dir):
     return lines.select("stream_id", F.col("line").cast("string").alias("line"))
 
 
+def landed_two_runs(spark, sf_dir):
+    """A batch job and then a streaming query land under one path."""
+    stage, path = work_dir(spark, "stage"), work_dir(spark, "landed")
+    config, options = replay_config(spark), LandingOptions(target_bytes=TARGET)
+    records = replay_events(spark, sf_dir, offsets=True)
+    land(records.where("partition < 3"), config, path, options)
+    records.where("partition >= 3").drop("arrival_seq").write.parquet(stage)
+    stream = read_record_file_stream(spark, stage)
+    start_landing(stream, config, path, f"{stage}-checkpoint", options, {"availableNow": True}).awaitTermination()
+    return read_landed(spark, path).select("stream_id", F.col("line").cast("string").alias("line"))
+
+
 def landed_quarantine(spark, sf_dir):
     rejects = quarantined(spark, _landed(spark, sf_dir))
     return rejects.select("topic", "partition", "offset", "error_class", "message")
@@ -482,7 +494,7 @@ def _streamed(spark, sf_dir, carry: bool) -> str:
     )
     query.awaitTermination()
     if carry:
-        drain(spark, config, path, query.lastProgress["batchId"], options)
+        drain(spark, config, path, query.id, query.lastProgress["batchId"], options)
     return path
 
 
@@ -558,6 +570,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_manifest": landed_manifest,
     "landed_roundtrip": landed_roundtrip,
     "landed_source": landed_source,
+    "landed_two_runs": landed_two_runs,
     "landed_quarantine": landed_quarantine,
     "landed_fast": landed_fast,
     "stream_landing": stream_landing,

@@ -3,12 +3,17 @@
 One pass over the records packs, compresses, stores and accounts. Its output rows are the
 ledger of the batch, written by the executors: a manifest row for each file and the
 undecodable or unconfigured records. Files that no ledger row names are not part of the
-landed data, so readers go by the ledger and a failed or repeated batch leaves no trace.
+landed data: readers go by the ledger, so what a failed batch left behind is not read.
+
+Everything a job writes is below its run id, and it overwrites only what itself wrote: many
+jobs can land under one path, at a time or one after the other.
 """
 
 from __future__ import annotations
 
 import io
+import re
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -216,9 +221,9 @@ class _OpenFile:
 class _Lander:
     """Packs sorted rows of one task into files; yields ledger batches."""
 
-    def __init__(self, path: str, batch_id: int, sealed_us: int, options: LandingOptions, finalize: bool, now_us: int | None, schema: pa.Schema):
+    def __init__(self, path: str, run_id: str, batch_id: int, sealed_us: int, options: LandingOptions, finalize: bool, now_us: int | None, schema: pa.Schema):
         self.store, root = open_store(path)
-        self.root, self.batch_id, self.sealed_us = root, batch_id, sealed_us
+        self.root, self.run_id, self.batch_id, self.sealed_us = root, run_id, batch_id, sealed_us
         self.options, self.rules, self.schema = options, options.rules, schema
         self.finalize, self.now_us = finalize, now_us
         self.escape = is_local(path) if options.escape_keys is None else options.escape_keys
@@ -299,9 +304,9 @@ class _Lander:
         file, (shard, stream) = self.file, self.key
         content, name, failed = file.finish(), None, 0
         if file.lines:
-            suffix = landed_suffix(stream, self.batch_id, shard, seq)
+            suffix = landed_suffix(stream, self.run_id, self.batch_id, shard, seq)
             if reason == "open":
-                folder, name = "open", f"batch_id={self.batch_id}/{suffix}"
+                folder, name = "open", f"{batch_folder(self.run_id, self.batch_id)}/{suffix}"
             else:
                 folder, name = "objects", landed_key(stream, self.sealed_us, suffix, self.escape)
             failed = put(self.store, f"{self.root}/{folder}/{name}", content, self.options.max_retries)
@@ -349,14 +354,20 @@ def land(
     finalize: bool = True,
     now_us: int | None = None,
     opened: DataFrame | None = None,
-) -> None:
-    """Lands one batch under `path`.
-
-    `sealed_us` names the objects; give the same one when a batch is repeated. With
-    `finalize=False` the last file of a stream stays open unless `now_us` finds it old
-    enough, and `opened` (the open manifest rows of the batch before) is carried on.
+    run_id: str | None = None,
+    arrived_us: int | None = None,
+) -> str:
+    """Lands one batch under `path` and returns its run id.
+
+    A job without `run_id` gets a new one, so it never replaces what another job landed. To
+    repeat a batch, give the same `run_id`, `batch_id` and `sealed_us` (which names the
+    objects). With `finalize=False` the last file of a stream stays open unless `now_us`
+    finds it old enough, and `opened` (the open manifest rows of the batch before) is carried
+    on. Ages count from the records' timestamps, or from `arrived_us` if that is given.
     """
     spark = records.sparkSession
+    run_id = uuid.uuid4().hex if run_id is None else run_id
+    folder = batch_folder(run_id, batch_id)
     if sealed_us is None:
         sealed_us = spark.sql("SELECT unix_micros(current_timestamp())").first()[0]
     rows = _rows_to_land(records, config, options)
@@ -371,36 +382,54 @@ def land(
     rows = rows.sortWithinPartitions(
         *keys, F.col("seed").isNull(), *arrival_columns(records)
     ).drop("spread")
+    if arrived_us is not None:
+        rows = rows.withColumn("t", F.lit(arrived_us).cast("bigint"))
     schema = to_arrow_schema(spark.createDataFrame([], LEDGER).schema)
 
     def pack(batches):
-        return _Lander(path, batch_id, sealed_us, options, finalize, now_us, schema).run(batches)
+        return _Lander(path, run_id, batch_id, sealed_us, options, finalize, now_us, schema).run(batches)
 
     ledger = rows.mapInArrow(pack, LEDGER)
     before = spark.conf.get(_BATCH_BYTES)
     spark.conf.set(_BATCH_BYTES, str(ARROW_BATCH_BYTES))
     try:
         writer = ledger.write.mode("overwrite").partitionBy("kind")
-        writer.parquet(f"{path}/ledger/batch_id={batch_id}")
+        writer.parquet(f"{path}/ledger/{folder}")
     finally:
         spark.conf.set(_BATCH_BYTES, before)
+    return run_id
+
+
+def batch_folder(run_id: str, batch_id: int) -> str:
+    """Where a batch of a run keeps its rows, below a folder of the landing path."""
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", run_id):
+        raise ValueError("a run id is made of letters, digits, '_' and '-'")
+    return f"run_id={run_id}/batch_id={batch_id}"
 
 
-def _ledger(spark: SparkSession, path: str, batch_id: int | None) -> DataFrame:
-    schema = f"{LEDGER}, batch_id BIGINT"
+def _ledger(spark: SparkSession, path: str, batch_id: int | None, run_id: str | None) -> DataFrame:
+    schema = f"{LEDGER}, run_id STRING, batch_id BIGINT"
     reader = spark.read.schema(schema).option("basePath", f"{path}/ledger")
-    return reader.parquet(f"{path}/ledger" if batch_id is None else f"{path}/ledger/batch_id={batch_id}")
+    if run_id is not None and batch_id is not None:
+        return reader.parquet(f"{path}/ledger/{batch_folder(run_id, batch_id)}")
+    found = reader.parquet(f"{path}/ledger")
+    wanted = {"run_id": run_id, "batch_id": batch_id}
+    for name, value in wanted.items():
+        found = found if value is None else found.where(F.col(name) == value)
+    return found
 
 
-def manifest(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
-    """A row for each landed file, of all batches or one."""
+def manifest(spark: SparkSession, path: str, batch_id: int | None = None, run_id: str | None = None) -> DataFrame:
+    """A row for each landed file, of all runs and batches or some."""
     columns = [c.strip().split(" ")[0] for c in MANIFEST.replace(OFFSET_RANGES, "X").split(",")]
-    return _ledger(spark, path, batch_id).where("kind = 'manifest'").select("batch_id", *columns)
+    rows = _ledger(spark, path, batch_id, run_id).where("kind = 'manifest'")
+    return rows.select("run_id", "batch_id", *columns)
 
 
-def quarantined(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
-    """Rejected records with the reason, of all batches or one."""
-    return _ledger(spark, path, batch_id).where("kind = 'reject'").select("batch_id", "reject.*")
+def quarantined(spark: SparkSession, path: str, batch_id: int | None = None, run_id: str | None = None) -> DataFrame:
+    """Rejected records with the reason, of all runs and batches or some."""
+    rows = _ledger(spark, path, batch_id, run_id).where("kind = 'reject'")
+    return rows.select("run_id", "batch_id", "reject.*")
 
 
 def write_quarantine(errors: DataFrame, path: str) -> None:

@@ -2,7 +2,8 @@
 
 Every micro-batch is landed by `foreachBatch` and then accounted for. The query's
 checkpoint decides what is read again after a failure; everything a batch writes is keyed
-by its id and repeats identically, so readers of the ledger see each record once.
+by the query's id and its own and repeats identically, so readers of the ledger see each
+record once. A new checkpoint is a new run, which leaves those before it as they are.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from quayside.operators.offsets import (
     outstanding,
 )
 from quayside.schema import RECORD
-from quayside.sinks.landing import LandingOptions, land, manifest, quarantined
+from quayside.sinks.landing import LandingOptions, batch_folder, land, manifest, quarantined
 from quayside.sinks.objects import open_store
 
 _WATERMARKS = "topic STRING, partition INT, previous BIGINT, watermark BIGINT"
@@ -36,15 +37,26 @@ def _exists(store: fs.FileSystem, path: str) -> bool:
     return store.get_file_info(path).type != fs.FileType.NotFound
 
 
-def _intent(path: str, batch_id: int, now: Callable[[], int]) -> int:
+def query_id(checkpoint: str) -> str:
+    """The id that a streaming query keeps as long as its checkpoint: the run id of its landing."""
+    store, root = open_store(checkpoint)
+    with store.open_input_stream(f"{root}/metadata", compression=None) as source:
+        return json.loads(source.read())["id"]
+
+
+def _intent_name(root: str, run_id: str, batch_id: int) -> str:
+    return f"{root}/batches/{batch_folder(run_id, batch_id)}.json"
+
+
+def _intent(path: str, run_id: str, batch_id: int, now: Callable[[], int]) -> int:
     """The seal time of a batch, fixed before its first file and kept for repetitions."""
     store, root = open_store(path)
-    name = f"{root}/batches/{batch_id}.json"
+    name = _intent_name(root, run_id, batch_id)
     if _exists(store, name):
         with store.open_input_stream(name, compression=None) as source:
             return json.loads(source.read())["sealed_us"]
     sealed_us = now()
-    store.create_dir(f"{root}/batches", recursive=True)
+    store.create_dir(name.rsplit("/", 1)[0], recursive=True)
     with store.open_output_stream(name, compression=None) as out:
         out.write(json.dumps({"batch_id": batch_id, "sealed_us": sealed_us}).encode())
     return sealed_us
@@ -55,70 +67,72 @@ def _drain_id(batch_id: int) -> int:
     return -batch_id - 1
 
 
-def _opened(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+def _opened(spark: SparkSession, path: str, run_id: str, batch_id: int) -> DataFrame | None:
     """Files the batch before left open, unless they were drained."""
     store, root = open_store(path)
-    if not _exists(store, f"{root}/batches/{batch_id - 1}.json"):
+    if not _exists(store, _intent_name(root, run_id, batch_id - 1)):
         return None
-    if _exists(store, f"{root}/batches/{_drain_id(batch_id - 1)}.json"):
+    if _exists(store, _intent_name(root, run_id, _drain_id(batch_id - 1))):
         return None
-    return manifest(spark, path, batch_id - 1).where("status = 'open'")
+    return manifest(spark, path, batch_id - 1, run_id).where("status = 'open'")
 
 
-def _table(spark: SparkSession, path: str, name: str, batch_id: int, schema: str) -> DataFrame:
+def _table(spark: SparkSession, path: str, name: str, run_id: str, batch_id: int, schema: str) -> DataFrame:
+    folder = batch_folder(run_id, batch_id)
     store, root = open_store(path)
-    if not _exists(store, f"{root}/{name}/batch_id={batch_id}"):
+    if not _exists(store, f"{root}/{name}/{folder}"):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/{name}/batch_id={batch_id}")
+    return spark.read.schema(schema).parquet(f"{path}/{name}/{folder}")
 
 
-def record_commits(spark: SparkSession, path: str, batch_id: int, previous: int) -> None:
+def record_commits(spark: SparkSession, path: str, run_id: str, batch_id: int, previous: int) -> None:
     """Advances the commit bookkeeping by one batch.
 
     Reads only the ledger of this batch and the two tables of the one before: `uploaded`
     ranges and `watermarks` with the value they had before and have after the batch.
     """
-    files = manifest(spark, path, batch_id)
+    files = manifest(spark, path, batch_id, run_id)
     landed = files.select("status", F.explode("offsets").alias("r")).select(
         "status", "r.topic", "r.partition", "r.start", "r.end"
     )
-    rejected = offset_ranges(quarantined(spark, path, batch_id))
-    known = _table(spark, path, "watermarks", previous, _WATERMARKS).select(*PARTITION, "watermark")
-    held = outstanding(_table(spark, path, "uploaded", previous, _RANGES), known)
+    rejected = offset_ranges(quarantined(spark, path, batch_id, run_id))
+    known = _table(spark, path, "watermarks", run_id, previous, _WATERMARKS).select(*PARTITION, "watermark")
+    held = outstanding(_table(spark, path, "uploaded", run_id, previous, _RANGES), known)
 
     released = landed.where("status <> 'open'").drop("status")
     merged = merge_ranges(released.unionByName(rejected).unionByName(held))
-    uploaded = _written(merged, path, "uploaded", batch_id, _RANGES)
+    uploaded = _written(merged, path, "uploaded", run_id, batch_id, _RANGES)
 
     consumed = landed.drop("status").unionByName(rejected)
     first = consumed.groupBy(*PARTITION).agg(F.min("start").alias("watermark"))
     marks = known.unionByName(first.join(known, list(PARTITION), "left_anti"))
     moved = advance(marks, committable(uploaded, marks))
     before = marks.withColumnRenamed("watermark", "previous")
-    _written(before.join(moved, list(PARTITION)), path, "watermarks", batch_id, _WATERMARKS)
+    _written(before.join(moved, list(PARTITION)), path, "watermarks", run_id, batch_id, _WATERMARKS)
 
 
-def _written(df: DataFrame, path: str, name: str, batch_id: int, schema: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
-    return _table(df.sparkSession, path, name, batch_id, schema)
+def _written(df: DataFrame, path: str, name: str, run_id: str, batch_id: int, schema: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(f"{path}/{name}/{batch_folder(run_id, batch_id)}")
+    return _table(df.sparkSession, path, name, run_id, batch_id, schema)
 
 
 def commit_log(spark: SparkSession, path: str) -> DataFrame:
-    """Commits of all batches: `batch_id, topic, partition, watermark, commit_offset`."""
+    """Commits of all batches: `run_id, batch_id, topic, partition, watermark, commit_offset`."""
     moves = (
-        spark.read.schema(f"{_WATERMARKS}, batch_id BIGINT")
+        spark.read.schema(f"{_WATERMARKS}, run_id STRING, batch_id BIGINT")
         .option("basePath", f"{path}/watermarks")
         .parquet(f"{path}/watermarks")
         .where(F.col("watermark") > F.col("previous"))
     )
     return moves.select(
-        "batch_id", *PARTITION, F.col("previous").alias("watermark"), F.col("watermark").alias("commit_offset")
+        "run_id", "batch_id", *PARTITION, F.col("previous").alias("watermark"), F.col("watermark").alias("commit_offset")
     )
 
 
 def land_batch(
     config: DataFrame,
     path: str,
+    run_id: str,
     options: LandingOptions = LandingOptions(),
     carry: bool = False,
     clock: Callable[[], int] = lambda: time.time_ns() // 1000,
@@ -126,26 +140,31 @@ def land_batch(
     """The `foreachBatch` function.
 
     Without `carry` each batch seals all its files: the trigger interval is the age limit.
-    With it, files below their size and age stay open and grow over many batches.
+    With it, files below their size and age stay open and grow over many batches; their age
+    counts from the batch in which their first record arrived, whatever its timestamp. The
+    batches of one `run_id` are numbered once; another job needs another.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        sealed_us = _intent(path, batch_id, clock)
-        opened = _opened(spark, path, batch_id) if carry else None
+        sealed_us = _intent(path, run_id, batch_id, clock)
+        opened = _opened(spark, path, run_id, batch_id) if carry else None
         land(
             batch, config, path, options, batch_id, sealed_us,
             finalize=not carry,
             now_us=sealed_us if options.max_age_ms is not None else None,
             opened=opened,
+            run_id=run_id,
+            arrived_us=sealed_us if carry and options.max_age_ms is not None else None,
         )
         drained = _drain_id(batch_id - 1)
         store, root = open_store(path)
-        previous = drained if _exists(store, f"{root}/watermarks/batch_id={drained}") else batch_id - 1
-        record_commits(spark, path, batch_id, previous)
+        previous = drained if _exists(store, f"{root}/watermarks/{batch_folder(run_id, drained)}") else batch_id - 1
+        record_commits(spark, path, run_id, batch_id, previous)
         # Nothing reads the open files of two batches ago any more, not even a repetition.
-        if _exists(store, f"{root}/open/batch_id={batch_id - 2}"):
-            store.delete_dir(f"{root}/open/batch_id={batch_id - 2}")
+        stale = f"{root}/open/{batch_folder(run_id, batch_id - 2)}"
+        if _exists(store, stale):
+            store.delete_dir(stale)
 
     return run
 
@@ -160,28 +179,36 @@ def start_landing(
     carry: bool = False,
     clock: Callable[[], int] = lambda: time.time_ns() // 1000,
 ) -> StreamingQuery:
-    """Lands a stream of records until stopped. `trigger` is that of `DataStreamWriter`."""
+    """Lands a stream of records until stopped. `trigger` is that of `DataStreamWriter`.
+
+    The run id is the query's id, which lives in the checkpoint.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        land_batch(config, path, query_id(checkpoint), options, carry, clock)(batch, batch_id)
+
     writer = records.writeStream.option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"processingTime": "15 seconds"}))
-    return writer.foreachBatch(land_batch(config, path, options, carry, clock)).start()
+    return writer.foreachBatch(run).start()
 
 
 def drain(
     spark: SparkSession,
     config: DataFrame,
     path: str,
+    run_id: str,
     last_batch: int,
     options: LandingOptions = LandingOptions(),
     clock: Callable[[], int] = lambda: time.time_ns() // 1000,
 ) -> None:
     """After a stopped query with `carry`: seals every open file and commits a last time."""
-    opened = _opened(spark, path, last_batch + 1)
+    opened = _opened(spark, path, run_id, last_batch + 1)
     if opened is None:
         return
     batch_id = _drain_id(last_batch)
     # The intent is written last: until then the open files still count as open.
     land(
-        spark.createDataFrame([], RECORD), config, path, options, batch_id, clock(), opened=opened
+        spark.createDataFrame([], RECORD), config, path, options, batch_id, clock(), opened=opened, run_id=run_id
     )
-    record_commits(spark, path, batch_id, last_batch)
-    _intent(path, batch_id, clock)
+    record_commits(spark, path, run_id, batch_id, last_batch)
+    _intent(path, run_id, batch_id, clock)

@@ -150,8 +150,8 @@ def test_escaped_parts_and_suffix(spark):
     prefix = object_prefix(stream_parts(F.lit(stream)), escape=True)
     assert spark.range(1).select(prefix).first()[0] == "%2E./a%2Fb%25/%/%2Ex"
     assert landed_key(stream, 0, "s", escape=True).startswith("%2E./a%2Fb%25/%/%2Ex/ingest")
-    suffix = file_suffix(F.lit(3), F.lit(2), F.lit("s"), F.lit(1))
-    assert landed_suffix("s", 3, 2, 1) == spark.range(1).select(suffix).first()[0] + "-2-1"
+    suffix = file_suffix(F.lit("r"), F.lit(3), F.lit(2), F.lit("s"), F.lit(1))
+    assert landed_suffix("s", "r", 3, 2, 1) == spark.range(1).select(suffix).first()[0] + "-2-1"
 
 
 def test_compression_ratio_is_exact(spark):

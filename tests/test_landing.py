@@ -73,9 +73,9 @@ def test_manifest_is_the_plan(spark, records, config):
 def test_repeating_a_batch_changes_nothing(spark, records, config):
     path = work_dir(spark, "test")
     options = LandingOptions(target_bytes=600)
-    land(records, config, path, options, batch_id=4, sealed_us=1_700_000_000_000_000)
+    land(records, config, path, options, batch_id=4, sealed_us=1_700_000_000_000_000, run_id="one")
     before, files = rows(manifest(spark, path)), sorted(glob.glob(f"{path}/objects/**/*.zst", recursive=True))
-    land(records, config, path, options, batch_id=4, sealed_us=1_700_000_000_000_000)
+    land(records, config, path, options, batch_id=4, sealed_us=1_700_000_000_000_000, run_id="one")
     assert rows(manifest(spark, path)) == before
     assert sorted(glob.glob(f"{path}/objects/**/*.zst", recursive=True)) == files
 
@@ -171,10 +171,10 @@ def test_stream_with_carry_equals_one_batch_even_after_a_repeat(spark, records,
     before = rows(manifest(spark, path).drop("failed_attempts"))
     count = records.count()
     again = records.where(F.col("arrival_seq") >= count // 2).drop("arrival_seq")
-    land_batch(config, path, options, carry=True)(again, last)
+    land_batch(config, path, query.id, options, carry=True)(again, last)
     assert rows(manifest(spark, path).drop("failed_attempts")) == before
 
-    drain(spark, config, path, last, options)
+    drain(spark, config, path, query.id, last, options)
     columns = ["stream_id", "record_count", "line_count", "raw_size_b", "created_us", "seal_reason"]
     plan = plan_files(consumed(process(records, config)), SealRules(900)).select(*columns)
     assert rows(manifest(spark, path).where("status <> 'open'").select(*columns)) == rows(plan)
@@ -228,3 +228,50 @@ def test_age_seals_carried_files(spark, config):
     assert step(1, batch(3, ["b"]), 105) == [("a", "dormant", 1, 100), ("b", "open", 2, 105)]
     # "b" was due before this record came, so the record starts a new file.
     assert step(2, batch(50, ["b"]), 510) == [("b", "dormant", 2, 110), ("b", "open", 1, 510)]
+
+
+def test_jobs_on_one_path_leave_each_other_alone(spark, records, config):
+    stage, path = work_dir(spark, "stage"), work_dir(spark, "stream")
+    records.where("partition >= 3").drop("arrival_seq").coalesce(1).write.parquet(stage)
+    options = LandingOptions(target_bytes=900, shards=2)
+    first = land(records.where("partition < 3"), config, path, options)
+
+    def stream(checkpoint):
+        source = read_record_file_stream(spark, stage)
+        query = start_landing(source, config, path, f"{path}/{checkpoint}", options, {"availableNow": True})
+        query.awaitTermination()
+        return query.id
+
+    second = stream("checkpoint")
+    assert rows(lines(spark, path)) == rows(expected_lines(records, config))
+    before, files = rows(manifest(spark, path)), set(glob.glob(f"{path}/objects/**/*.zst", recursive=True))
+    # With a new checkpoint the source is read again: lines come twice, none are lost.
+    third = stream("another")
+    assert rows(manifest(spark, path).where(F.col("run_id") != third)) == before
+    assert files < set(glob.glob(f"{path}/objects/**/*.zst", recursive=True))
+    twice = records.unionByName(records.where("partition >= 3"))
+    assert rows(lines(spark, path)) == rows(expected_lines(twice, config))
+    assert {r.run_id for r in manifest(spark, path).select("run_id").distinct().collect()} == {first, second, third}
+    with pytest.raises(ValueError, match="run id"):
+        land(records, config, path, options, run_id="../up")
+
+
+def test_old_records_accumulate_until_the_arrival_clock_closes_them(spark, config):
+    path, now = work_dir(spark, "test"), []
+    options = LandingOptions(target_bytes=10_000, max_age_ms=100_000, shards=1)
+    run = land_batch(config, path, "old", options, carry=True, clock=lambda: now[-1] * 1_000_000)
+
+    def step(batch_id, now_s):
+        now.append(now_s)
+        row = ("topic-click", 0, batch_id, None, b"\x00" * 5 + b"{}", [("schema_name", b"a")])
+        df = spark.createDataFrame([row], RECORD).withColumn("timestamp", F.timestamp_seconds(F.lit(1)))
+        run(df, batch_id)
+        found = manifest(spark, path, batch_id, "old").collect()
+        return sorted((r.seal_reason, r.record_count, r.created_us // 10**6) for r in found)
+
+    assert step(0, 1_000_000) == [("open", 1, 1_000_000)]
+    assert step(1, 1_000_050) == [("open", 2, 1_000_000)]
+    closed = [("dormant", 2, 1_000_000), ("open", 1, 1_000_200)]
+    assert step(2, 1_000_200) == closed
+    # Repeated later, the batch keeps its time.
+    assert step(2, 1_000_900) == closed
