@@ -199,9 +199,10 @@ def _may_link(docs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
             values = np.concatenate(found) if found else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(values, pa.int64())], ["cls", "shingle"])
 
-    each = stage(sets.mapInArrow(split, "cls binary, shingle long"), "untested-shingles")
-    shared = stage(each.groupBy("shingle").agg(F.count("*").alias("m")).filter("m > 1").select("shingle"), "shared-shingles")
-    counted = each.join(shared, "shingle").groupBy("cls").agg(F.count("*").alias("s")).join(mine, "cls")
+    each = sets.mapInArrow(split, "cls binary, shingle long")
+    once = each.groupBy("shingle").agg(F.count("*").alias("m"), F.min("cls").alias("cls")).filter("m = 1")
+    own = once.groupBy("cls").agg(F.count("*").alias("own"))
+    counted = mine.join(own, "cls", "left").withColumn("s", F.col("n") - F.coalesce("own", F.lit(0)))
     return counted.filter(100 * F.col("s") >= THRESHOLD * F.col("n")).select("cls", "s")
 
 
