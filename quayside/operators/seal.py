@@ -16,7 +16,7 @@ from math import ceil, isqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.packing import (
@@ -279,14 +279,17 @@ def _chained(tables: DataFrame, slices: int, rules: SealRules) -> DataFrame:
 
 
 def _seal(rows: DataFrame, order: Sequence[str], rules: SealRules, emit, schema: str, slice_rows: int) -> DataFrame:
-    """Runs `emit` over the streams in arrival order, in as many slices as their size asks for."""
-    shared_dir(rows.sparkSession)
-    rows = rows.checkpoint()
+    """Runs `emit` over the streams in arrival order, in as many slices as their size asks for.
+
+    Stream sizes come from an aggregate that combines before its shuffle. Only rows that are
+    cut into slices, and so read several times, are written out.
+    """
     sizes = rows.groupBy(*KEYS).count().agg(F.max("count").alias("largest"), F.sum("count").alias("all"))
     largest, total = sizes.first()
     if (largest or 0) <= slice_rows:
         return _whole_streams(rows, order).mapInArrow(lambda it: emit(_Packer(rules), it), schema)
 
+    shared_dir(rows.sparkSession)
     count = ceil(total / slice_rows)
     # Range bounds come from a sample, so the slices are fixed before they are read twice.
     slices = (
@@ -359,10 +362,13 @@ def plan_files(
     )
 
 
-def full_files(planned: DataFrame, rules: SealRules) -> DataFrame:
-    """Keys of the files of `assign_files` that reached the target."""
-    written = planned.groupBy(*KEYS, "file_seq").agg(F.sum("line_bytes").alias("raw_size_b"))
-    return written.where(F.col("raw_size_b") >= rules.target_bytes).drop("raw_size_b")
+def in_full_files(planned: DataFrame, rules: SealRules) -> DataFrame:
+    """The rows of `assign_files` whose file reached the target.
+
+    Summed over each file's own rows, so that the packing pass below runs once.
+    """
+    written = F.sum("line_bytes").over(Window.partitionBy(*KEYS, "file_seq"))
+    return planned.withColumn("raw_size_b", written).where(F.col("raw_size_b") >= rules.target_bytes).drop("raw_size_b")
 
 
 def due_us(created_us: Column, rules: SealRules) -> Column:

@@ -23,7 +23,7 @@ from quayside.functions.routing import (
 from quayside.operators import lifecycle, offsets, stats
 from quayside.operators.packing import SealRules
 from quayside.operators.records import consumed, decode, decode_errors, dropped_headers, envelope, process, route
-from quayside.operators.seal import assign_files, full_files, lane, plan_files, seal_rules
+from quayside.operators.seal import assign_files, in_full_files, lane, plan_files, seal_rules
 from quayside.operators.topics import assign_config, unconfigured
 from quayside.session import work_dir
 from quayside.sinks.landing import (
@@ -320,7 +320,7 @@ def _uploaded(spark, sf_dir) -> DataFrame:
     records = _processed(spark, sf_dir, offsets=True)
     rules = SealRules(TARGET)
     planned = assign_files(consumed(records), rules, ("topic", "partition", "offset"))
-    sealed = planned.join(full_files(planned, rules), ["shard", "stream_id", "file_seq"], "left_semi")
+    sealed = in_full_files(planned, rules)
     rejected = records.where("outcome = 'decode_error'")
     address = ["topic", "partition", "offset"]
     ranges = offsets.offset_ranges(sealed.select(*address).unionByName(rejected.select(*address)))
