@@ -14,7 +14,7 @@ from quayside.operators.topics import assign_config, topic_config
 from quayside.schema import HEADERS
 
 FRAME = b"\x00" * 5
-DEFAULT = [("header-A", b"value-A"), ("header-B", b"value-B")]
+DEFAULT = [("origin", b"quay 4"), ("seal", b"0x7f")]
 ROW = f"id INT, topic STRING, partition INT, offset BIGINT, value BINARY, headers {HEADERS.simpleString()}, decoder STRING"
 
 
@@ -24,25 +24,25 @@ def rows(spark, cases):
 
 
 ENVELOPES = [
-    (FRAME + b'{"event":{},"product":{"id":1}}', DEFAULT, "schema", "ok",
-     b'{"data":{"event":{},"product":{"id":1}},"x-header-A":"value-A","x-header-B":"value-B"}'),
-    (b'"random-string"', DEFAULT, "string", "ok",
-     b'{"data":"random-string","x-header-A":"value-A","x-header-B":"value-B"}'),
-    (b'"random-string"', None, "string", "ok", b'{"data":"random-string"}'),
-    (b'"random-string"', [], "string", "ok", b'{"data":"random-string"}'),
+    (FRAME + b'{"berths":[3,{"free":null}],"tide":-0.5}', DEFAULT, "schema", "ok",
+     b'{"data":{"berths":[3,{"free":null}],"tide":-0.5},"x-origin":"quay 4","x-seal":"0x7f"}'),
+    (b'"a line of text"', DEFAULT, "string", "ok",
+     b'{"data":"a line of text","x-origin":"quay 4","x-seal":"0x7f"}'),
+    (b'"a line of text"', None, "string", "ok", b'{"data":"a line of text"}'),
+    (b'"a line of text"', [], "string", "ok", b'{"data":"a line of text"}'),
     (None, DEFAULT, "string", "skip_null", None),
     (None, DEFAULT, "schema", "skip_null", None),
-    (b'{"data": 4}', DEFAULT, "schema", "decode_error", None),
+    (b'[true, 9]', DEFAULT, "schema", "decode_error", None),
     (b"", DEFAULT, "schema", "decode_error", None),
     (b"\x01\x00\x00\x00\x01{}", DEFAULT, "schema", "decode_error", None),
     (b"\x00\x00\x00", DEFAULT, "schema", "decode_error", None),
     (FRAME, DEFAULT, "schema", "skip_empty", None),
     (b"", DEFAULT, "string", "skip_empty", None),
-    (b'"data"', [("good_key", b"good_value"), ("bad_key", b'has"quote')], "string", "ok",
-     b'{"data":"data","x-good_key":"good_value"}'),
-    (b'"data"', [("bad\\key", b"value")], "string", "ok", b'{"data":"data"}'),
-    (b'"data"', [("key", b"has\nnewline")], "string", "ok", b'{"data":"data"}'),
-    (b'"data"', [("null_header", None), ("good", b"val")], "string", "ok", b'{"data":"data","x-good":"val"}'),
+    (b'"data"', [("crane", b"idle"), ("note", b'say "go"')], "string", "ok",
+     b'{"data":"data","x-crane":"idle"}'),
+    (b'"data"', [("c:\\dock", b"value")], "string", "ok", b'{"data":"data"}'),
+    (b'"data"', [("key", b"one\ntwo")], "string", "ok", b'{"data":"data"}'),
+    (b'"data"', [("unset", None), ("ship", b"in")], "string", "ok", b'{"data":"data","x-ship":"in"}'),
     (b'"data"', [("e", b""), ("e", b"again"), ("d", b"\x7f\xff\xfe")], "string", "ok",
      b'{"data":"data","x-e":"","x-e":"again","x-d":"\x7f\xff\xfe"}'),
     (b'"data"', [("cut", b"\xe2\x22")], "string", "ok", b'{"data":"data"}'),
@@ -75,16 +75,16 @@ def test_dropped_headers(spark):
 
 
 ROUTES = [
-    ([("schema_name", b"test-schema"), ("schema_version", b"1.0.0")], "test-schema|1.0.0",
-     "topic|test-schema|1.0.0|status_code=unknown_status_code"),
-    ([("schema_name", b"test-schema"), ("schema_version", b"1.0.0"), ("status_code", b"400")],
-     "test-schema|1.0.0", "topic|test-schema|1.0.0|status_code=400"),
+    ([("schema_name", b"cargo"), ("schema_version", b"2024b")], "cargo|2024b",
+     "topic|cargo|2024b|status_code=unknown_status_code"),
+    ([("schema_name", b"cargo"), ("schema_version", b"2024b"), ("status_code", b"503")],
+     "cargo|2024b", "topic|cargo|2024b|status_code=503"),
     ([("schema_name", b""), ("schema_version", b"")], "unknown_schema_name|unknown_schema_version",
      "topic|unknown_schema_name|unknown_schema_version|status_code=unknown_status_code"),
     (None, "unknown_schema_name|unknown_schema_version",
      "topic|unknown_schema_name|unknown_schema_version|status_code=unknown_status_code"),
-    ([("schema_name", b"my-schema")], "my-schema|unknown_schema_version",
-     "topic|my-schema|unknown_schema_version|status_code=unknown_status_code"),
+    ([("schema_name", b"pilot")], "pilot|unknown_schema_version",
+     "topic|pilot|unknown_schema_version|status_code=unknown_status_code"),
     ([("schema_name", b"\xff\xfe"), ("schema_name", None), ("schema_name", b"second")],
      "second|unknown_schema_version", "topic|second|unknown_schema_version|status_code=unknown_status_code"),
 ]
@@ -130,17 +130,17 @@ AT = dt.datetime(2026, 5, 29, 14, 30, 15, 999_999, dt.timezone.utc)
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
 def test_object_keys(spark, zone):
-    stream = "dlq\x1fschema_name\x1fschema_version\x1fstatus_code=400"
+    stream = "dlq\x1fschema_name\x1fschema_version\x1fstatus_code=503"
     sealed_us = int(AT.timestamp()) * 1_000_000 + 999_999
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        key = object_key(stream_parts(F.lit(stream)), F.timestamp_micros(F.lit(sealed_us)), F.lit("5678"))
+        key = object_key(stream_parts(F.lit(stream)), F.timestamp_micros(F.lit(sealed_us)), F.lit("c0ffee11"))
         want = (
-            "dlq/schema_name/schema_version/status_code=400/"
-            "ingest_year_month_day=2026-05-29/2026-05-29T14:30:15Z-5678.jsonl.zst"
+            "dlq/schema_name/schema_version/status_code=503/"
+            "ingest_year_month_day=2026-05-29/2026-05-29T14:30:15Z-c0ffee11.jsonl.zst"
         )
         assert spark.range(1).select(key).first()[0] == want
-        assert landed_key(stream, sealed_us, "5678", escape=False) == want
+        assert landed_key(stream, sealed_us, "c0ffee11", escape=False) == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
