@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -309,7 +310,14 @@ class _Lander:
                 folder, name = "open", f"{batch_folder(self.run_id, self.batch_id)}/{suffix}"
             else:
                 folder, name = "objects", landed_key(stream, self.sealed_us, suffix, self.escape)
-            failed = put(self.store, f"{self.root}/{folder}/{name}", content, self.options.max_retries)
+            # The names of what an object says of itself.
+            about = {
+                "record_count": str(file.lines),
+                "raw_size_bytes": str(file.raw),
+                "compression_ratio": ratio_text(file.raw, len(content)),
+            }
+            target = f"{self.root}/{folder}/{name}"
+            failed = put(self.store, target, content, self.options.max_retries, metadata=about)
         # A file of skipped records only has no object; its offsets are released all the same.
         status = "open" if reason == "open" else "uploaded" if file.lines else "released"
         self.rows.append(
@@ -432,6 +440,36 @@ def quarantined(spark: SparkSession, path: str, batch_id: int | None = None, run
     return rows.select("run_id", "batch_id", "reject.*")
 
 
+def vacuum(spark: SparkSession, path: str, before_us: int) -> int:
+    """Removes objects that no ledger row names and that were written before then; their number.
+
+    A running batch has objects that its ledger does not name yet, so `before_us` must lie before
+    the start of every batch that still runs. Spark lists the folder, without reading contents,
+    and the executors delete. Names that begin with a dot or an underscore are left alone.
+    """
+    store, root = open_store(path)
+    if store.get_file_info(f"{root}/objects").type == fs.FileType.NotFound:
+        return 0
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/objects")
+    folder = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    old = files.where(F.unix_micros("modificationTime") < before_us)
+    old = old.select(F.substr("path", F.lit(len(folder) + 2)).alias("object_key"))
+    named = manifest(spark, path).where("status = 'uploaded'").select("object_key")
+
+    def remove(batches):
+        store, root = open_store(path)
+        for batch in batches:
+            for key in batch["object_key"].to_pylist():
+                # A task that runs again finds some gone already.
+                if store.get_file_info(f"{root}/objects/{key}").type != fs.FileType.NotFound:
+                    store.delete_file(f"{root}/objects/{key}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["removed"])
+
+    removed = old.join(named, "object_key", "left_anti").mapInArrow(remove, "removed BIGINT")
+    return removed.agg(F.coalesce(F.sum("removed"), F.lit(0))).first()[0]
+
+
 def write_quarantine(errors: DataFrame, path: str) -> None:
     """Appends rejected records of a job of one's own."""
     errors.write.mode("append").parquet(path)

@@ -33,11 +33,11 @@ def is_local(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-def _write(store: fs.FileSystem, target: str, content: bytes) -> None:
+def _write(store: fs.FileSystem, target: str, content: bytes, metadata: dict[str, str] | None) -> None:
     parent, name = posixpath.split(target)
     if store.type_name in ("s3", "gcs", "abfs"):
         # An object appears whole when its upload completes.
-        with store.open_output_stream(target, compression=None) as out:
+        with store.open_output_stream(target, compression=None, metadata=metadata) as out:
             out.write(content)
         return
     store.create_dir(parent, recursive=True)
@@ -59,15 +59,17 @@ def put(
     content: bytes,
     max_retries: int,
     sleep: Callable[[float], None] = time.sleep,
+    metadata: dict[str, str] | None = None,
 ) -> int:
     """Stores a file and returns the number of failed attempts before it worked.
 
+    Object stores are handed `metadata` with it; keys that a store does not take are ignored there.
     Raises once the retries are used up, which fails the task; Spark may then rerun it.
     """
     for attempt in range(max_retries + 1):
         sleep(random.uniform(0, backoff_ms(attempt)) / 1000)
         try:
-            _write(store, target, content)
+            _write(store, target, content, metadata)
             return attempt
         except OSError as error:
             failure = error

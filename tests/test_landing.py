@@ -1,6 +1,7 @@
 """Landing: files, ledger, failures, retries and streaming restarts."""
 
 import glob
+import shutil
 
 import pytest
 import zstandard
@@ -13,7 +14,7 @@ from quayside.operators.seal import lane, plan_files
 from quayside.schema import RECORD
 from quayside.session import work_dir
 from quayside.sinks import objects
-from quayside.sinks.landing import LandingOptions, land, manifest, quarantined
+from quayside.sinks.landing import LandingOptions, land, manifest, quarantined, vacuum
 from quayside.sources.landed import read_landed
 from quayside.sources.records import _kafka_options, read_record_file_stream, read_record_files
 from quayside.sources.replay import replay_config, replay_events
@@ -110,13 +111,12 @@ def test_large_and_tiny_records(spark):
     records = records.where("topic <> 'topic-1' OR offset < 200")
     path = work_dir(spark, "test")
     config = topic_config(spark, BENCH_GROUPS)
-    # Payloads hold random ids, so they are fixed before they are read twice.
     records.write.parquet(f"{path}/in")
     records = read_record_files(spark, f"{path}/in")
     land(records, config, path, LandingOptions(target_bytes=6_000_000))
     assert rows(lines(spark, path)) == rows(expected_lines(records, config))
     small = lines(spark, path).where(F.col("stream_id").startswith("topic-small")).first()
-    assert small.line.startswith('{"data":' + "\x00" * 5 + '{"id":1,')
+    assert small.line.startswith('{"data":' + "\x00" * 5 + '{"pier":4,')
 
 
 class Flaky:
@@ -145,6 +145,34 @@ def test_put_retries_and_gives_up(tmp_path):
     assert glob.glob(f"{tmp_path}/b/*") == []
 
 
+def test_object_stores_get_metadata():
+    given = {}
+
+    class Store:
+        type_name = "s3"
+
+        def open_output_stream(self, target, compression, metadata):
+            given[target] = metadata
+            return fs.LocalFileSystem().open_output_stream("/dev/null", compression=compression)
+
+    about = {"record_count": "2", "raw_size_bytes": "10", "compression_ratio": "5.00"}
+    assert objects.put(Store(), "b/f.zst", b"x", 0, metadata=about) == 0
+    assert given == {"b/f.zst": about}
+
+
+def test_vacuum_removes_what_no_ledger_names(spark, records, config):
+    path = work_dir(spark, "test")
+    assert vacuum(spark, path, 2**60) == 0
+    land(records, config, path, LandingOptions(target_bytes=600))
+    before, files = rows(lines(spark, path)), sorted(glob.glob(f"{path}/objects/**/*.zst", recursive=True))
+    shutil.copy(files[0], files[0].replace(".jsonl.zst", "0.jsonl.zst"))
+    assert vacuum(spark, path, 0) == 0
+    assert vacuum(spark, path, 2**60) == 1
+    assert vacuum(spark, path, 2**60) == 0
+    assert sorted(glob.glob(f"{path}/objects/**/*.zst", recursive=True)) == files
+    assert rows(lines(spark, path)) == before
+
+
 def test_backoff_bounds():
     assert [objects.backoff_ms(n) for n in range(8)] == [0, 200, 400, 800, 1600, 3200, 5000, 5000]
 
