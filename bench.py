@@ -58,7 +58,7 @@ def landing(spark, cpus: int) -> dict:
     stage = work_dir(spark, "bench")
     config = topic_config(spark, BENCH_GROUPS)
     staged = synthesize_records(spark, TOPIC_BYTES)
-    # Stored plainly: the made-up payloads would shrink to almost nothing.
+    # Stored plainly, so that reading costs what the values weigh.
     staged.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(stage)
     records = spark.read.parquet(stage)
     count, size = records.agg(F.count("*"), F.sum(F.octet_length("value"))).first()
