@@ -24,8 +24,8 @@ NET_WORDS = 510
 BLOCK_ROWS = 4096
 #: Rounds of training; each learns from a part of the documents, in all from each once.
 ROUNDS = 2
-#: Of each document's windows, every so many is learned from; all are read for the state.
-STRIDE = 4
+#: Of each document's windows, every so many is learned from: all of them.
+STRIDE = 1
 #: Documents that learn side by side, one step for a window of all of them.
 LANES = 256
 #: Replicas are added up in groups of so many until so many are left.
@@ -187,7 +187,7 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
 
     Counts cover all documents. Words come back to the documents by block: one shuffle of the
     blocks' distinct words by word, one of them and of the texts by block. The network learns in
-    replicas next to the data, from a fixed share of the windows of every training document.
+    replicas next to the data, from every window of every training document.
     """
     blocks = _blocks(docs, training)
     counts = word_counts(blocks)

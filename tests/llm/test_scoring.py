@@ -101,3 +101,12 @@ def test_replicas_add_up():
     other = Network(np.zeros(70))
     other.load(net.to_bytes())
     assert all((other.p[k] == net.p[k]).all() for k in net.p)
+
+
+def test_every_token_is_learned_from(monkeypatch):
+    """Texts of any length, also of one window only, teach all of their tokens in any phase."""
+    draw = np.random.default_rng(3)
+    monkeypatch.setattr(scoring, "LANES", 2)
+    ids = [np.append(draw.integers(1, 70, n), 0).astype(np.int32) for n in (0, 3, 5, 20, 31, 40, 70, 95, 200)]
+    for phase in range(4):
+        assert scoring._learn_all(Network(np.arange(70, 0, -1).astype(float)), ids, phase) == sum(map(len, ids))
