@@ -11,6 +11,7 @@ import numpy as np
 
 EMBEDDING = 16
 HIDDEN = 16
+#: Classes hold a multiple of so many words, about as many as there are classes.
 CLASS_WORDS = 16
 #: Tokens that gradients reach back through; the state goes on beyond them.
 WINDOW = 32
@@ -20,6 +21,8 @@ CLIP = 5.0
 DAMPING = 1e-5
 #: A step on fewer tokens, as at the end of the longest documents, is smaller in proportion.
 FULL_STEP = 2048
+#: Rows of the softmax that are computed together.
+OUTPUT_ROWS = 2048
 #: Rows of output that are computed together while scoring.
 SCORED_ROWS = 16384
 
@@ -57,12 +60,13 @@ class Network:
     def __init__(self, counts: np.ndarray, seed: int = 7) -> None:
         draw = np.random.default_rng(seed)
         n = len(counts)
-        self.words, self.classes = n, -(-n // CLASS_WORDS)
-        size = self.classes * CLASS_WORDS
+        self.width = CLASS_WORDS * max(1, round(np.sqrt(n) / CLASS_WORDS))
+        self.words, self.classes = n, -(-n // self.width)
+        size = self.classes * self.width
         near = lambda *shape: (draw.standard_normal(shape) * 0.1).astype(np.float32)
         frequency = np.zeros(size)
         frequency[:n] = counts + 1.0
-        by_class = frequency.reshape(-1, CLASS_WORDS)
+        by_class = frequency.reshape(-1, self.width)
         with np.errstate(divide="ignore"):
             word_bias = np.where(by_class > 0, np.log(by_class / by_class.sum(axis=1, keepdims=True)), -1e9)
         self.p = {
@@ -147,39 +151,49 @@ class Network:
         p, out = self.p, np.empty(len(target))
         order = np.argsort(target, kind="stable")
         h, target = h[order], target[order]
-        cls = target // CLASS_WORDS
+        cls = target // self.width
+        inner = target - cls * self.width
         back = None
         if grads is not None:
             back = np.empty_like(h)
             for k in ("cw", "cb", "ow", "ob"):
                 grads[k] = np.zeros_like(p[k])
-        edges = np.searchsorted(cls, np.arange(self.classes + 1)).tolist()
-        for c in range(self.classes):
-            span = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
+        for a in range(0, len(h), OUTPUT_ROWS):
+            b = min(a + OUTPUT_ROWS, len(h))
+            hc, cc, rows = h[a:b], cls[a:b], np.arange(b - a)
+            e = self._space("e", b - a, self.classes)
+            np.matmul(hc, p["cw"], out=e)
+            e += p["cb"]
+            log = e[rows, cc]
+            np.exp(e, out=e)
+            e_sum = e.sum(axis=1)
+            out[a:b] = log - np.log(e_sum)
+            if grads is not None:
+                e /= e_sum[:, None]
+                e[rows, cc] -= 1.0
+                grads["cw"] += hc.T @ e
+                grads["cb"] += e.sum(axis=0)
+                np.matmul(e, p["cw"].T, out=back[a:b])
+        found, edges = np.unique(cls, return_index=True)
+        edges = [*edges.tolist(), len(h)]
+        for i, c in enumerate(found.tolist()):
+            span = slice(c * self.width, (c + 1) * self.width)
             o_weights = p["ow"][span].T.copy()
-            for a in range(edges[c], edges[c + 1], 2048):
-                b = min(a + 2048, edges[c + 1])
-                hc, inner, rows = h[a:b], target[a:b] - c * CLASS_WORDS, np.arange(b - a)
-                e, f = self._space("e", b - a, self.classes), self._space("f", b - a, CLASS_WORDS)
-                np.matmul(hc, p["cw"], out=e)
-                e += p["cb"]
+            for a in range(edges[i], edges[i + 1], OUTPUT_ROWS):
+                b = min(a + OUTPUT_ROWS, edges[i + 1])
+                hc, at, rows = h[a:b], inner[a:b], np.arange(b - a)
+                f = self._space("f", b - a, self.width)
                 np.matmul(hc, o_weights, out=f)
                 f += p["ob"][span]
-                log = e[:, c] + f[rows, inner]
-                np.exp(e, out=e)
+                log = f[rows, at]
                 np.exp(f, out=f)
-                e_sum, f_sum = e.sum(axis=1), f.sum(axis=1)
-                out[a:b] = log - np.log(e_sum) - np.log(f_sum)
+                f_sum = f.sum(axis=1)
+                out[a:b] += log - np.log(f_sum)
                 if grads is not None:
-                    e /= e_sum[:, None]
                     f /= f_sum[:, None]
-                    e[:, c] -= 1.0
-                    f[rows, inner] -= 1.0
-                    grads["cw"] += hc.T @ e
-                    grads["cb"] += e.sum(axis=0)
+                    f[rows, at] -= 1.0
                     grads["ow"][span] += f.T @ hc
                     grads["ob"][span] += f.sum(axis=0)
-                    np.matmul(e, p["cw"].T, out=back[a:b])
                     back[a:b] += f @ p["ow"][span]
         log = np.empty(len(out))
         log[order] = out

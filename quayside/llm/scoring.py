@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -18,8 +19,9 @@ from quayside.llm.recurrent import Documents, Network
 END = b"\n"
 #: The network's numbers for the end of a text and for all words that it does not know.
 END_ID, OTHER_ID = 0, 1
-#: Words that the network knows, the most frequent ones. It bounds the network's size.
-NET_WORDS = 510
+#: The network knows the words that occur at least sqrt(N) / RARITY times, and twice, in N training
+#: tokens. At most RARITY * sqrt(N) words do, so it grows with the input, but more slowly.
+RARITY = 16
 #: Rows of a block: its documents are scored together with the counts of its words.
 BLOCK_ROWS = 4096
 #: Rounds of training; each learns from a part of the documents, in all from each once.
@@ -28,8 +30,10 @@ ROUNDS = 2
 STRIDE = 1
 #: Documents that learn side by side, one step for a window of all of them.
 LANES = 256
-#: Replicas are added up in groups of so many until so many are left.
+#: Replicas are added up in groups of so many until so many are left; of large ones in smaller groups.
 FAN_IN = 64
+#: Bytes of replicas that are added up together.
+FAN_IN_BYTES = 128_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -97,16 +101,22 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _network(counts: DataFrame) -> tuple[dict[bytes, int], Network, int, int]:
-    """The numbers of the words that the network knows, its first parameters, N and V."""
+def least_count(total: int) -> int:
+    """How often a word occurs in `total` training tokens for the network to know it."""
+    return max(2, math.ceil(math.sqrt(total) / RARITY))
+
+
+def _network(counts: DataFrame) -> tuple[dict[bytes, int], Network, int, int, int]:
+    """The numbers of the words that the network knows, its first parameters, N, V and the known words' count."""
     words = counts.filter("first AND c > 0")
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    common = words.filter(F.col("word") != F.lit(END)).orderBy(F.desc("c"), "word").limit(NET_WORDS).collect()
+    common = words.filter((F.col("word") != F.lit(END)) & (F.col("c") >= least_count(total))).select("word", "c").collect()
+    common.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     ends = words.filter(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     known = {END: END_ID} | {bytes(r["word"]): i for i, r in enumerate(common, 2)}
     sizes = [r["c"] for r in common]
     frequency = np.array([ends, total - ends - sum(sizes), *sizes], np.float64)
-    return known, Network(frequency), total, distinct
+    return known, Network(frequency), total, distinct, ends + sum(sizes)
 
 
 def _numbers(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
@@ -117,9 +127,10 @@ def _train(blocks: DataFrame, known: dict[bytes, int], network: Network) -> None
     """Each round, every task trains a replica on its documents; the mean of them is the next start.
 
     Replicas count by the tokens they learned from. They are added up in the cluster, FAN_IN at
-    a time, so the driver gets FAN_IN of them at most.
+    a time and no more than FAN_IN_BYTES, so the driver gets FAN_IN of them at most.
     """
     spark = blocks.sparkSession
+    fan_in = max(2, min(FAN_IN, FAN_IN_BYTES // (2 * len(network.to_bytes()))))
     for number in range(ROUNDS):
         start = spark.sparkContext.broadcast((known, network))
 
@@ -142,8 +153,8 @@ def _train(blocks: DataFrame, known: dict[bytes, int], network: Network) -> None
 
         chosen = blocks.filter(F.col("training") & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == number))
         replicas = stage(chosen.select("block", "text").mapInArrow(learn, "task long, learned long, params binary"), "replicas")
-        while (count := replicas.count()) > FAN_IN:
-            grouped = replicas.withColumn("task", F.pmod(F.xxhash64("task"), F.lit(-(-count // FAN_IN) + 1)))
+        while (count := replicas.count()) > fan_in:
+            grouped = replicas.withColumn("task", F.pmod(F.xxhash64("task"), F.lit(max(1, -(-count // fan_in)))))
             replicas = stage(grouped.groupBy("task").applyInArrow(_added, "task long, learned long, params binary"), "replicas")
         rows = replicas.collect()
         if rows:
@@ -178,7 +189,7 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     `training` says which rows are learned from. Tokens are the words of a text in ASCII lower
     case and one end. base_score adds up log10((c + 1) / (N + V + 1)) of the tokens' counts in the
     training rows; score is the log10-probability of the whole text under a gated recurrent
-    network. The network predicts its own frequent words; another word has the probability of
+    network. The network predicts the words of `least_count` or more; another word has the probability of
     "another word" there times its share, (c + 1) / (n + v + 1), of the counts of all such words.
 
     Null texts are empty: one token, the end. Each row gives one row; repeated rows count as often
@@ -191,11 +202,10 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     """
     blocks = _blocks(docs, training)
     counts = word_counts(blocks)
-    known, network, total, distinct = _network(counts)
+    known, network, total, distinct, frequent = _network(counts)
     _train(blocks, known, network)
     inner = len(known) - 1  # the known words but the end
     rest_words = max(0, distinct - inner - 1)
-    frequent = counts.filter("first").filter(F.col("word").isin(list(known))).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     shared = docs.sparkSession.sparkContext.broadcast((known, network, total, distinct, total - frequent, rest_words))
 
     def score(texts: pa.Table, words: pa.Table) -> pa.Table:

@@ -110,3 +110,15 @@ def test_every_token_is_learned_from(monkeypatch):
     ids = [np.append(draw.integers(1, 70, n), 0).astype(np.int32) for n in (0, 3, 5, 20, 31, 40, 70, 95, 200)]
     for phase in range(4):
         assert scoring._learn_all(Network(np.arange(70, 0, -1).astype(float)), ids, phase) == sum(map(len, ids))
+
+
+def test_vocabulary_grows(spark):
+    """All words above a count that follows from N are known, in about as many classes as a class has words."""
+    texts = [" ".join(f"w{i}" for i in range(1500) for _ in range(3)) + f" once{k}" for k in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = scoring.word_counts(scoring._blocks(docs, F.lit(True)))
+    known, net, total, distinct, frequent = scoring._network(counts)
+    assert total == 9004 and distinct == 1503 and frequent == 9002
+    assert scoring.least_count(total) == 6 and len(known) == 1501 and net.words == 1502
+    assert net.classes * net.width >= net.words and 0.5 < net.classes / net.width < 2
+    assert scoring.least_count(10**10) == 6250 and scoring.least_count(0) == 2
