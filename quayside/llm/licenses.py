@@ -100,6 +100,11 @@ WITHIN = {"BSD-2-Clause": "BSD-3-Clause"}
 
 #: A sentence ends at a line end, or at an end mark or colon before white space or the end of the text.
 BOUNDARY = r"[.!?:;]+(?:[ \t]+|$)|[.!?:;]*[\r\n]+[ \t]*"
+#: An end mark that closes a sentence, and a line break, which may also lie within one.
+_END_MARK = r"[.!?:;]+(?:[ \t]+|(?=[\r\n])|$)"
+_LINE_BREAK = r"\r\n|[\r\n]"
+#: What stands for a line break within a paragraph, and for the end of a sentence or paragraph.
+_SOFT, _HARD = "\x01", "\x02"
 #: One of these is in every known sentence, so a text without any of them has no known sentence.
 ANCHORS = ["licen", "permi", "copyright", "warrant", "redistribut", "software", "version ", "may not use"]
 
@@ -114,7 +119,24 @@ _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def _lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _SOFT + _HARD, "abcdefghijklmnopqrstuvwxyz  ")
+
+
+def _fragments(low: Column) -> Column:
+    """The normalised words of a text with a mark at each line break and sentence end, and at both ends.
+
+    Line breaks next to each other, also with comment marks between them, end a paragraph.
+    """
+    marked = F.regexp_replace(F.regexp_replace(low, _END_MARK, _HARD), _LINE_BREAK, _SOFT)
+    spaced = F.regexp_replace(marked, f"[^a-z0-9{_SOFT}{_HARD}]+", " ")
+    tight = F.regexp_replace(F.concat(F.lit(_HARD), spaced, F.lit(_HARD)), f" ?([{_SOFT}{_HARD}]) ?", "$1")
+    return F.regexp_replace(tight, f"[{_SOFT}{_HARD}]{{2,}}", _HARD)
+
+
+def _pattern(known: list[str]) -> str:
+    """Matches a known sentence between two marks, the longest at a place; lines may break between its words."""
+    words = sorted(known, key=lambda x: (-len(x), x))
+    return f"(?<=[{_SOFT}{_HARD}])(?:{'|'.join(x.replace(' ', f'[ {_SOFT}]') for x in words)})(?=[{_SOFT}{_HARD}])"
 
 
 def _known() -> dict[str, str]:
@@ -129,7 +151,10 @@ def _in_order(found: Column, rule: list[str]) -> Column:
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, sentences (known identifiers in text order, comma-joined), licenses and n_licenses.
 
-    Texts are cut into sentences, which are normalised and looked up among the known ones; a rule
+    Texts are cut into sentences, which are normalised and looked up among the known ones. A
+    sentence may be wrapped over lines, each with comment marks; a line or several may also be one
+    without an end mark, as titles are. Of known sentences that overlap the first and of these the
+    longest counts. A rule
     matches where its identifiers occur in order, others between them allowed. `licenses` lists
     each matching licence once, in alphabetical order, comma-joined; a licence that is contained
     in another matching one is left out. Null, empty and other texts without a known sentence have
@@ -146,13 +171,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     low = _lower(F.col("__text"))
     for word in ANCHORS:
         anchored = anchored | low.contains(word.split(" ")[0])
-    ids = F.filter(
-        F.transform(
-            F.split(low, BOUNDARY, -1),
-            lambda s: F.element_at(lookup, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))),
-        ),
-        lambda x: x.isNotNull(),
-    )
+    found = F.regexp_extract_all(_fragments(low), F.lit(_pattern(list(known))), F.lit(0))
+    ids = F.transform(found, lambda x: F.element_at(lookup, F.translate(x, _SOFT, " ")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
     rows = rows.select("doc_id", F.when(anchored, F.array_join(ids, ",")).otherwise("").alias("sentences"))
     found = F.concat(F.lit("|"), F.regexp_replace("sentences", ",", "||"), F.lit("|"))

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from quayside.llm import licenses
 
@@ -44,3 +45,28 @@ def test_awkward(spark, awkward, no_docs):
 def test_native(documents):
     plan = licenses.scan_licenses(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_wrapped(spark):
+    """Texts as they stand in files: wrapped, with comment marks, titles on lines of their own."""
+    s = licenses.SENTENCES
+    texts = {
+        "MIT": ["MIT License", "Copyright (c) 2020 Somebody", s["mit-grant"], s["mit-condition"], s["as-is"]],
+        "BSD-3-Clause": [s["bsd-grant"], *(f"{i}. {s[n]}" for i, n in enumerate(["bsd-source", "bsd-binary", "bsd-endorse"], 1))],
+        "ISC": ["Copyright 2020 Somebody", s["isc-grant"], s["as-is"]],
+        "GPL-3.0-or-later": [s["gpl-free"] + " " + s["gpl-header"]],
+        "MPL-2.0": [s["mpl-notice"] + " 2.0. If a copy of it was not distributed with this file, You can obtain one."],
+        "Apache-2.0": [s["apache-header"] + " " + s["apache-use"]],
+        "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"],
+    }
+    for width in (30, 72, 79):
+        for prefix in ("", " * ", "# ", "// "):
+            for end in ("\n", "\r\n"):
+                wrapped = [
+                    end.join(prefix + x for part in parts for x in [*textwrap.wrap(part, width, break_on_hyphens=False), ""])
+                    for parts in texts.values()
+                ]
+                assert [g[1] for g in scan(spark, *wrapped)] == list(texts), (width, prefix, end)
+    # Titles on lines that follow each other, and words that only meet across a paragraph.
+    assert scan(spark, "Apache License\nVersion 2.0, January 2004\nhttp://x")[0][1] == "Apache-2.0"
+    assert scan(spark, "Licensed under\n\nCC BY 4.0.", "Licensed under\nCC BY 4.0.") == [("", "", 0), ("cc-by-notice", "CC-BY-4.0", 1)]
