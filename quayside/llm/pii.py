@@ -40,6 +40,10 @@ WIDE = [
     ("phone", r"(?<![0-9+().-])(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])", r"[0-9]{3}[ .-][0-9]{4}"),
 ]
 
+#: The wide form of a kind that is right by its own form: (what its matches are, a copy with one thing wrong).
+#: Other wide forms have the check of the base form.
+OWN_FORM = {"ip": (r"^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$", "concat(c.hit, ':', left(c.hit, 1))")}
+
 CONTEXT_CHARS = 24
 KEYWORDS = "(?i)mail|phone|tel|call|fax|card|visa|address|host|server|contact"
 FEATURES = ["digits", "marks", "letters", "luhn", "octets", "last_label", "before", "after", "near_digits", "keyword", "lead"]
@@ -128,6 +132,11 @@ def _valid(kind: str) -> str:
     }[kind]
 
 
+def _own_form(kind: str) -> str:
+    """Whether a proposal is of a wide form that has a validity of its own."""
+    return f"c.hit RLIKE {_quoted(OWN_FORM[kind][0])}" if kind in OWN_FORM else "false"
+
+
 def _described(array: str) -> str:
     """The spans of an array with their features: of their form, and of the text around them."""
     digits = _digits("c.hit")
@@ -201,12 +210,19 @@ def _spoiled(kind: str) -> str:
     return f"transform(base_{kind}, c -> named_struct('start', c.start, 'stop', c.stop, 'hit', {wrong}, 'left', c.left, 'right', c.right))"
 
 
+def _spoiled_wide(kind: str) -> str:
+    """The same for the wide form with a validity of its own."""
+    wrong = OWN_FORM[kind][1] if kind in OWN_FORM else "c.hit"
+    own = f"filter(wide_{kind}, c -> {_own_form(kind)})"
+    return f"transform({own}, c -> named_struct('start', c.start, 'stop', c.stop, 'hit', {wrong}, 'left', c.left, 'right', c.right))"
+
+
 def fit(docs: DataFrame) -> dict[str, Trees]:
     """Trees and thresholds per kind from the proposals in all of `docs`.
 
-    Labels come from the forms themselves: base spans that stand free of letters and digits are
-    right; base matches that fail their check, proposals of the wide forms that fail it and
-    spoiled copies of base spans are wrong. Rows with equal features are one cell with a count,
+    Labels come from the forms themselves: base spans, and IPv6 addresses of eight groups, that
+    stand free of letters and digits are right; base matches that fail their check, proposals of
+    the other wide forms that fail it and spoiled copies of the right ones are wrong. Rows with equal features are one cell with a count,
     so what is fitted on does not grow with the documents; of more than MAX_CELLS cells the
     smallest by hash are taken.
     """
@@ -220,7 +236,9 @@ def fit(docs: DataFrame) -> dict[str, Trees]:
             strip(f"base_{kind}", f"CASE WHEN {free} THEN 1 ELSE 0 END"),
             strip(f"fail_{kind}", "0"),
             strip(_described(_spoiled(kind)), "0"),
-            strip(f"filter(wide_{kind}, c -> NOT ({_valid(kind)}))", "0"),
+            strip(f"filter(wide_{kind}, c -> {_own_form(kind)})", f"CASE WHEN {free} THEN 1 ELSE 0 END"),
+            strip(f"filter(wide_{kind}, c -> NOT ({_valid(kind)}) AND NOT ({_own_form(kind)}))", "0"),
+            *([strip(_described(_spoiled_wide(kind)), "0")] if kind in OWN_FORM else []),
         ]
     cells = (
         df.select(fold.alias("calibrates"), F.explode(F.expr(f"concat({', '.join(labelled)})")).alias("c"))

@@ -126,3 +126,20 @@ def test_starts(spark, steps):
     df = spark.createDataFrame([(steps,)], "s array<int>")
     want = [sum(steps[:i]) for i in range(len(steps))]
     assert df.select(F.expr(f"CASE WHEN size(s) = 0 THEN cast(array() AS array<int>) ELSE {pii._starts('s')} END")).first()[0] == want
+
+
+def test_ipv6(spark):
+    """Addresses of eight groups are found beside dotted ones that the trees are fitted on."""
+    rows, six = [], {}
+    for i in range(200):
+        address = ":".join(f"{(i * 7919 + j * 104729) % 65536:x}" for j in range(8))
+        texts = [f"see {i % 256}.9.{i % 99}.1 now", f"from host {address} again, {i} times", f"spoiled {address}:{i % 9} here", "nothing here"]
+        rows.append((i, texts[i % 4]))
+        if i % 4 == 1:
+            six[i] = f"ip:{texts[1].index(address)}:{texts[1].index(address) + len(address)}"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(df).collect()}
+    assert {i: got[i] for i in six} == six
+    assert all(not got[i] for i in got if i % 4 > 1) and all(got[i].startswith("ip:4:") for i in got if i % 4 == 0)
+    for r in pii.redact(df).collect():
+        assert ("[IP]" in r["text"]) == (r["doc_id"] % 4 < 2) and not (r["doc_id"] in six and ":" in r["text"])
