@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import boosting
+from quayside.llm.common import stage
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -49,6 +50,8 @@ KEYWORDS = "(?i)mail|phone|tel|call|fax|card|visa|address|host|server|contact"
 FEATURES = ["digits", "marks", "letters", "luhn", "octets", "last_label", "before", "after", "near_digits", "keyword", "lead"]
 #: Distinct feature combinations that a kind's trees are fitted on; a fixed pseudo-random part of more.
 MAX_CELLS = 20_000
+#: Thresholds are multiples of one part in so many.
+STEPS = 1000
 #: A kind's threshold keeps spans right in this share of the calibration documents' ones.
 PRECISION = 0.99
 #: Documents with crc32(doc_id) modulo 5 of 0 calibrate; the trees are fitted on the others.
@@ -217,14 +220,24 @@ def _spoiled_wide(kind: str) -> str:
     return f"transform({own}, c -> named_struct('start', c.start, 'stop', c.stop, 'hit', {wrong}, 'left', c.left, 'right', c.right))"
 
 
+def _calibration(cells: DataFrame, trees: dict[str, list]) -> DataFrame:
+    """kind, step, right and total: sums of all calibration cells by steps of their score, whose range is bounded."""
+    columns = [f"c.{f}" for f in FEATURES]
+    score = " ".join(f"WHEN kind = '{k}' THEN {boosting.to_sql(t, columns)}" for k, t in trees.items())
+    held = cells.filter("calibrates").select("kind", "label", "n", F.struct(*FEATURES).alias("c"))
+    # find_spans takes scores down to 1e-6 below the threshold.
+    held = held.withColumn("step", F.expr(f"floor((CASE {score} END + 1e-6D) * {STEPS})"))
+    return held.groupBy("kind", "step").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("total"))
+
+
 def fit(docs: DataFrame) -> dict[str, Trees]:
     """Trees and thresholds per kind from the proposals in all of `docs`.
 
     Labels come from the forms themselves: base spans, and IPv6 addresses of eight groups, that
     stand free of letters and digits are right; base matches that fail their check, proposals of
     the other wide forms that fail it and spoiled copies of the right ones are wrong. Rows with equal features are one cell with a count,
-    so what is fitted on does not grow with the documents; of more than MAX_CELLS cells the
-    smallest by hash are taken.
+    so what is fitted on does not grow with the documents; of more than MAX_CELLS cells of a kind
+    the smallest by hash are taken. Thresholds come from all cells of the calibration documents.
     """
     df = _proposed(docs.select("doc_id", "text"), F.col("text"))
     fold = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)), F.lit(1)) == 0
@@ -245,16 +258,20 @@ def fit(docs: DataFrame) -> dict[str, Trees]:
         .groupBy("calibrates", "c.kind", "c.label", *(f"c.{f}" for f in FEATURES))
         .agg(F.count("*").alias("n"))
     )
-    models = {}
-    rows = cells.orderBy(F.xxhash64("kind", "label", *FEATURES), *FEATURES, "kind", "label", "calibrates").limit(MAX_CELLS * len(KINDS)).collect()
+    cells = stage(cells, "pii-cells")
+    trees = {}
     for kind in KINDS:
-        mine = [r for r in rows if r["kind"] == kind]
+        fitting = cells.filter((F.col("kind") == kind) & ~F.col("calibrates"))
+        mine = fitting.orderBy(F.xxhash64("label", *FEATURES), *FEATURES, "label").limit(MAX_CELLS).collect()
         x = np.array([[r[f] for f in FEATURES] for r in mine], np.int64).reshape(-1, len(FEATURES))
-        y, n = np.array([r["label"] for r in mine], float), np.array([r["n"] for r in mine], float)
-        held = np.array([r["calibrates"] for r in mine], bool)
-        trees = boosting.fit(x[~held], y[~held], n[~held])
-        score = sum((boosting.predict(t, x[held]) for t in trees), np.zeros(int(held.sum())))
-        models[kind] = Trees(trees, boosting.threshold(score, y[held], n[held], PRECISION))
+        trees[kind] = boosting.fit(x, np.array([r["label"] for r in mine], float), np.array([r["n"] for r in mine], float))
+    sums = _calibration(cells, trees).collect()
+    models = {}
+    for kind in KINDS:
+        mine = [r for r in sums if r["kind"] == kind]
+        right, total = (np.array([r[k] for r in mine], float) for k in ("right", "total"))
+        score = np.array([r["step"] for r in mine], float) / STEPS
+        models[kind] = Trees(trees[kind], boosting.threshold(score, right / np.maximum(total, 1), total, PRECISION))
     return models
 
 
