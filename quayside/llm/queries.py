@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, language, licenses, near_duplicates, packing, pii, scoring, token_counts, topk, warc
+from quayside.llm import decontaminate, language, licenses, near_duplicates, packing, pii, quality, scoring, token_counts, topk, warc
 from quayside.llm.common import stage, table
 from quayside.session import work_dir
 
@@ -67,6 +67,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_top_k,
         op10_licenses,
+        op13_quality,
     )
 }
 
