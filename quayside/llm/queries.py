@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, language, licenses, near_duplicates, packing, pii, quality, scoring, token_counts, topk, warc
+from quayside.llm import collocations, decontaminate, language, licenses, near_duplicates, packing, pii, quality, scoring, token_counts, topk, warc
 from quayside.llm.common import stage, table
 from quayside.session import work_dir
 
@@ -67,6 +67,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_top_k,
         op10_licenses,
+        op12_collocations,
         op13_quality,
     )
 }
@@ -108,4 +113,5 @@ s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(list_z
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 10""",
     "op10_licenses": licenses.oracle(),
+    "op12_collocations": collocations.ORACLE,
 }
