@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import collocations, decontaminate, language, licenses, near_duplicates, packing, pii, quality, scoring, token_counts, topk, warc
+from quayside.llm import collocations, decontaminate, language, licenses, near_duplicates, packing, pii, quality, runs, scoring, token_counts, topk, warc
 from quayside.llm.common import stage, table
 from quayside.session import work_dir
 
@@ -67,6 +67,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_top_k,
         op10_licenses,
+        op11_periodic_runs,
         op12_collocations,
         op13_quality,
     )
