@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +20,17 @@ LEAST_COUNT = 10
 #: A candidate is dropped if a longer one around it has this share (in percent) of its occurrences.
 ABSORBED_PERCENT = 50
 TOP = 2000
-#: Windows that are counted together inside a task. Three word numbers of a segment fit 63 bits.
-BLOCK_WINDOWS = 1 << 20
+#: Windows that are counted together inside a task.
+BLOCK_WINDOWS = 1 << 22
+#: Three numbers of so many different words fit 63 bits. A block with more (of one very long text)
+#: is counted in segments of half as many windows.
+NUMBERED_WORDS = 1 << 21
+#: Counted windows that a task after the shuffle gets.
+TASK_WINDOWS = 1 << 20
 #: Bytes of a text that become words at a time.
 PART_BYTES = 1 << 22
 #: Rows of about so many documents tell which pairs of words begin the most windows.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 4_000
 #: A pair that begins this share of the sample's windows is dealt out over SALTS parts. There are no
 #: more than 1 / HOT_SHARE of them, so their list is small.
 HOT_SHARE = 1 / 2000
@@ -62,13 +70,15 @@ class _Block:
             at = end
         mine.append(np.zeros(ORDER - 1, np.int64))
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        """Each window with its count in the block, in order of its words; b"" is padding."""
+    def rows(self, hot: dict[str, set[tuple[bytes, bytes]]]) -> Iterator[pa.RecordBatch]:
+        """Each window with its count in the block, in order of its words; an empty word is padding."""
         names = np.array([b"", *list(self.number)[1:]], object)
+        number = {name: i for i, name in enumerate(names.tolist())} if hot else {}
         for lang, parts in self.found.items():
             ids = np.concatenate(parts)
-            for at in range(0, len(ids) - ORDER + 1, BLOCK_WINDOWS):
-                known, local = np.unique(ids[at : at + BLOCK_WINDOWS + ORDER - 1], return_inverse=True)
+            segment = len(ids) if len(names) < NUMBERED_WORDS else NUMBERED_WORDS // 2
+            for at in range(0, len(ids) - ORDER + 1, segment):
+                known, local = np.unique(ids[at : at + segment + ORDER - 1], return_inverse=True)
                 if known[0] != 0:  # so that 0 is padding here too
                     known, local = np.r_[0, known], local + 1
                 lead = [local[i : len(local) - ORDER + 1 + i].copy() for i in range(ORDER)]
@@ -78,23 +88,33 @@ class _Block:
                 for column in lead:
                     key = key * len(known) + column
                 key, n = np.unique(key[lead[0] > 0], return_counts=True)
+                pairs = [(number[a], number[b]) for a, b in hot.get(lang, ()) if a in number and b in number]
+                place = np.searchsorted(known, np.array(pairs, np.int64).reshape(-1, 2)).clip(max=len(known) - 1)
+                there = (known[place] == np.array(pairs, np.int64).reshape(-1, 2)).all(axis=1)
+                frequent = place[there, 0] * len(known) + place[there, 1]
                 for first in range(0, len(key), 50_000):
-                    k, columns = key[first : first + 50_000], []
-                    for _ in range(ORDER):
-                        columns.append(pa.array(names[known[k % len(known)]], pa.binary()))
-                        k = k // len(known)
-                    n_here = n[first : first + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(n_here), pa.string()), *columns[::-1], pa.array(n_here, pa.int64())], ["lang", *WORDS, "n"]
-                    )
+                    yield self._batch(lang, names[known], key[first : first + 50_000], n[first : first + 50_000], frequent)
 
+    def _batch(self, lang: str, names: np.ndarray, key: np.ndarray, n: np.ndarray, frequent: np.ndarray) -> pa.RecordBatch:
+        pair, third = key // len(names), key % len(names)
+        salt = np.zeros(len(key), np.int32)
+        for i in np.flatnonzero(np.isin(pair, frequent)).tolist():
+            salt[i] = 1 + zlib.crc32(names[third[i]]) % SALTS
+        words = [pa.array(names[x], pa.binary()) for x in (pair // len(names), pair % len(names), third)]
+        joined = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(key), pa.string()), joined, pa.array(salt), pa.array(n, pa.int64())],
+            ["lang", "window", "salt", "n"],
+        )
 
-def windows(docs: DataFrame) -> DataFrame:
-    """lang, w1, w2, w3 and n: the windows of each task's documents, counted there.
+
+def windows(docs: DataFrame, hot: dict[str, set[tuple[bytes, bytes]]] | None = None) -> DataFrame:
+    """lang, window, salt and n: the windows of each task's documents, counted there.
 
     There is a window for each word: it and the next two of its piece, with padding (an empty
-    word) behind the piece's end.
+    word) behind the piece's end, joined by spaces. Windows of a `hot` pair get a salt by their third word.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(hot or {})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
@@ -102,29 +122,32 @@ def windows(docs: DataFrame) -> DataFrame:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 block.add(lang, text)
                 if block.size >= BLOCK_WINDOWS:
-                    yield from block.rows()
+                    yield from block.rows(shared.value)
                     block = _Block()
-        yield from block.rows()
+        yield from block.rows(shared.value)
 
     plain = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("string").cast("binary").alias("text")
     ).filter("length(text) > 0")
-    return plain.mapInArrow(count, "lang string, " + ", ".join(f"{w} binary" for w in WORDS) + ", n long")
+    return plain.mapInArrow(count, "lang string, window binary, salt int, n long").withColumn("window", F.col("window").cast("string"))
 
 
-def _salted(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """`rows` with a salt, which spreads the windows that begin with a very frequent pair of words.
+def _frequent(docs: DataFrame) -> tuple[dict[str, set[tuple[bytes, bytes]]], int]:
+    """Pairs that begin many windows, by language, and about how many counted windows there are.
 
-    Which pairs these are is told by a sample; the counts are the same whatever it says.
+    A sample tells both. They only say how the work is dealt out; the counts are the same.
     """
     total = docs.count()
-    part = docs.sample(min(1.0, SAMPLE_ROWS / total), seed=7) if total else docs
-    begun = windows(part).groupBy("lang", "w1", "w2").agg(F.count("*").alias("m"))
+    if not total:
+        return {}, 0
+    share = min(1.0, SAMPLE_ROWS / total)
+    begun = windows(docs.sample(share, seed=7)).groupBy("lang", F.substring_index("window", " ", 2).alias("pair")).agg(F.count("*").alias("m"))
     begun = stage(begun, "pairs")
-    all_rows = begun.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
-    hot = begun.filter(F.col("m") >= max(2, all_rows * HOT_SHARE)).select("lang", "w1", "w2", F.lit(1).alias("hot"))
-    spread = F.when(F.col("hot") == 1, 1 + F.pmod(F.xxhash64("w3"), F.lit(SALTS))).otherwise(0)
-    return rows.join(F.broadcast(hot), ["lang", "w1", "w2"], "left").withColumn("salt", spread.cast("int")).drop("hot")
+    rows = begun.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+    hot: dict[str, set[tuple[bytes, bytes]]] = {}
+    for r in begun.filter(F.col("m") >= max(2, rows * HOT_SHARE)).collect():
+        hot.setdefault(r["lang"], set()).add(tuple(r["pair"].encode().split(b" ")))
+    return hot, math.ceil(rows / share)
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
@@ -134,27 +157,30 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
     one whose first pair is too rare also the second; what is left is summed up by ROLLUP over
     ever shorter prefixes, which gives the counts of shorter phrases.
     """
-    salted = _salted(docs, windows(docs))
-    near = ["lang", "w1", "w2", "salt"]
-    # Dealt by pair of words, the counts of windows and of pairs need no further shuffle.
-    counted = salted.repartition(*near).groupBy(*near, "w3").agg(F.sum("n").alias("n"))
-    counted = counted.withColumn("pair", F.sum("n").over(Window.partitionBy(*near)))
+    hot, expected = _frequent(docs)
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(expected / TASK_WINDOWS))
+    near, pair = ["pair", "lang", "salt"], F.substring_index("window", " ", 2)
+    # Dealt by pair of words and sorted once, windows and pairs are counted without a further shuffle.
+    dealt = windows(docs, hot).repartition(partitions, pair, "lang", "salt")
+    dealt = dealt.select(pair.alias("pair"), "lang", "salt", F.substring_index("window", " ", -1).alias("w3"), "n")
+    dealt = dealt.sortWithinPartitions(*near, "w3")
+    counted = dealt.withColumn("in_pair", F.sum("n").over(Window.partitionBy(*near)))
+    counted = counted.withColumn("in_window", F.sum("n").over(Window.partitionBy(*near, "w3")))
     # A salted pair is in several parts, so its sum here says nothing; it stays.
-    rare = (F.col("salt") == 0) & (F.col("pair") < least)
-    padding = F.lit(b"")
+    rare = (F.col("salt") == 0) & (F.col("in_pair") < least)
     kept = counted.select(
         "lang",
-        "w1",
-        F.when(rare, padding).otherwise(F.col("w2")).alias("w2"),
-        F.when(rare | (F.col("n") < least), padding).otherwise(F.col("w3")).alias("w3"),
+        F.substring_index("pair", " ", 1).alias("w1"),
+        F.when(rare, "").otherwise(F.substring_index("pair", " ", -1)).alias("w2"),
+        F.when(rare | (F.col("in_window") < least), "").otherwise(F.col("w3")).alias("w3"),
         "n",
     )
     summed = kept.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # The level has a bit for each column that is summed over, the last column first.
     length = F.when(F.col("level") == 0, 3).when(F.col("level") == 1, 2).when(F.col("level") == 3, 1).when(F.col("level") == 7, 0)
-    last = F.when(F.col("level") == 0, F.col("w3")).when(F.col("level") == 1, F.col("w2")).otherwise(F.lit(b"-"))
+    last = F.when(F.col("level") == 0, F.col("w3")).when(F.col("level") == 1, F.col("w2")).otherwise(F.lit("-"))
     found = summed.withColumn("words", length).filter(
-        F.col("words").isNotNull() & (F.octet_length(last) > 0) & ((F.col("f") >= least) | (F.col("words") == 0))
+        F.col("words").isNotNull() & (last != "") & ((F.col("f") >= least) | (F.col("words") == 0))
     )
     return stage(found.select("lang", *WORDS, "words", "f"), "phrases")
 
@@ -190,7 +216,7 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP) -> D
     pairs = two.withColumnRenamed("f", "a").join(longer, ["lang", "w1", "w2"], "left")
     pairs = pairs.filter(F.col("around").isNull() | (100 * F.col("around") < ABSORBED_PERCENT * F.col("a")))
     pairs = pairs.join(head, ["lang", "w1"]).join(tail, ["lang", "w2"]).select(
-        "lang", F.concat_ws(" ", F.col("w1").cast("string"), F.col("w2").cast("string")).alias("phrase"), "a",
+        "lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a",
         F.col("head").alias("l"), F.col("tail").alias("r"),
     )
     pairs = pairs.withColumn("score", _score("a", "l", "r"))
@@ -205,7 +231,7 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP) -> D
     )
     first = F.col("early") <= F.col("late")
     triples = cuts.select(
-        "lang", F.concat_ws(" ", *(F.col(w).cast("string") for w in WORDS)).alias("phrase"), "a",
+        "lang", F.concat_ws(" ", *WORDS).alias("phrase"), "a",
         F.when(first, F.col("head")).otherwise(F.col("head2")).alias("l"),
         F.when(first, F.col("tail2")).otherwise(F.col("tail")).alias("r"),
         F.least("early", "late").alias("score"),

@@ -74,13 +74,15 @@ def test_blocks(monkeypatch):
     """Windows do not depend on where blocks are cut, nor on the parts of a long text."""
     text = " ".join(f"w{i * i % 7}{'.' if i % 5 == 0 else ''}" for i in range(500)) + " é" * 20
 
-    def counted():
+    def counted(hot=None):
         block, total = collocations._Block(), Counter()
         block.add("x", text.encode())
         block.add("x", b"one")
-        for batch in block.rows():
+        for batch in block.rows(hot or {}):
             for r in batch.to_pylist():
-                total[r["w1"], r["w2"], r["w3"]] += r["n"]
+                words = tuple(r["window"].split(b" "))
+                total[words] += r["n"]
+                assert (r["salt"] > 0) == (words[:2] in (hot or {}).get("x", ()))
         return total
 
     whole = counted()
@@ -89,9 +91,11 @@ def test_blocks(monkeypatch):
         padded = [w.encode() for w in words] + [b"", b""]
         want.update(tuple(padded[i : i + 3]) for i in range(len(words)))
     assert whole == want
-    monkeypatch.setattr(collocations, "BLOCK_WINDOWS", 7)
+    hot = {"x": {(b"w1", b"w4"), (b"w1", b"nowhere"), (b"w2", b"")}, "y": {(b"w4", b"w1")}}
+    assert counted(hot) == want
+    monkeypatch.setattr(collocations, "NUMBERED_WORDS", 6)
     monkeypatch.setattr(collocations, "PART_BYTES", 16)
-    assert counted() == want
+    assert counted() == counted(hot) == want
 
 
 def test_exact_scores(spark):
