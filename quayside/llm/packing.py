@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import groups_of, slices, stage
-from quayside.llm.tokens import VOCABULARY, word_bytes
+from quayside.llm.tokens import VOCABULARY, largest_id, word_bytes
 
 SEQUENCE_TOKENS = 1024
 GROUP_PIECES = 4096
@@ -64,11 +64,17 @@ def first_fit_decreasing(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np
     return bins, at
 
 
+def _stored(vocabulary: str) -> str:
+    return "<u2" if largest_id(vocabulary) < 1 << 16 else "<u4"
+
+
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = SEQUENCE_TOKENS, ids: bool = True) -> DataFrame:
     """The pieces of at most `room` tokens that each document is cut into, written out once.
 
-    With `ids`, a column `ids` has the token ids as little-endian unsigned 32-bit numbers.
+    With `ids`, a column `ids` has the token ids as little-endian unsigned numbers, of 16 bits
+    where all ids of the vocabulary fit and of 32 otherwise.
     """
+    narrow = _stored(vocabulary)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_bytes(vocabulary)
@@ -84,7 +90,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = SEQUENCE_T
                     crcs.append(zlib.crc32(part))
                     totals.append(len(whole) // 4)
                     if ids:
-                        contents.append(part)
+                        contents.append(np.frombuffer(part, "<u4").astype(narrow).tobytes())
             columns = [pa.array(x, pa.int64()) for x in (doc_ids, starts, lengths, crcs, totals)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             if ids:
@@ -108,7 +114,8 @@ def pack(
     A document's tokens end with id 0 and are cut every `room` tokens. The pieces are dealt at
     random into groups of about `group_pieces`; each group is packed on its own, longest piece
     first, into the first sequence with enough room. A row per piece says where it lies;
-    `sequence_tokens` is what its sequence holds and `padded_tokens` its stored length: `room`,
+    `ids` has the token ids as little-endian unsigned 32-bit numbers; they are stored and shuffled
+    in 16 bits where the vocabulary fits. `sequence_tokens` is what its sequence holds and `padded_tokens` its stored length: `room`,
     or its own length where that is a power of two.
 
     Null and empty texts are a document of one token. Every row is packed, also repeated rows
@@ -123,12 +130,16 @@ def pack(
         F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(count)),
     )
 
+    narrow = _stored(vocabulary)
+
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
         lengths = group["length"].to_numpy(np.int64)
         bins, at = first_fit_decreasing(lengths, room)
         held = np.bincount(bins, lengths)[bins].astype(np.int64)
         whole = (held & (held - 1)) == 0
+        if ids:
+            group["ids"] = [np.frombuffer(x, narrow).astype("<u4").tobytes() for x in group["ids"]]
         return group.drop(columns="__group").assign(
             sequence_id=group["__group"].to_numpy(np.int64) * 2**32 + bins,
             offset=at,

@@ -324,10 +324,11 @@ def redact(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with [EMAIL], [IP], [CARD] and [PHONE] in place of the spans in text.
 
     Overlapping spans become one mark, of the first one's kind; n_chars, if there, is the new
-    length. Null texts stay null; texts without a span stay as they are.
+    length. Null texts stay null; texts without a span stay as they are. Each row gives one row; the
+    other columns come back unchanged, whatever their names.
     """
     names = docs.columns
-    found = find_spans(docs, fit(docs))
+    found = find_spans(docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("row"), "text"), fit(docs))
     spans = ", ".join(
         f"transform(concat(base_{k}, added_{k}), c -> named_struct('start', c.start, 'stop', c.stop, 'mark', '[{k.upper()}]'))" for k in KINDS
     )
@@ -339,5 +340,7 @@ def redact(docs: DataFrame) -> DataFrame:
         "s -> concat(array_join(s.parts, ''), substring(__text, s.at + 1)))"
     )
     found = found.withColumn("__redacted", F.expr(f"CASE WHEN size(__spans) = 0 THEN text ELSE {built} END"))
-    made = {"text": F.col("__redacted"), "n_chars": F.coalesce(F.length("__redacted").cast("long"), F.col("n_chars")) if "n_chars" in names else None}
-    return found.select(*(made[n].alias(n) if n in made else F.col(n) for n in names))
+    made = {"text": F.col("__redacted")}
+    if "n_chars" in names:
+        made["n_chars"] = F.coalesce(F.length("__redacted").cast("long"), F.col("row.n_chars"))
+    return found.select(*(made[n].alias(n) if n in made else F.col(f"row.`{n}`").alias(n) for n in names))

@@ -6,6 +6,7 @@ import base64
 import os
 import re
 import struct
+from functools import cache
 
 import public_tokenizers
 
@@ -19,6 +20,13 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+@cache
+def largest_id(path: str = VOCABULARY) -> int:
+    """The largest token id of a vocabulary."""
+    with open(os.path.splitext(path)[0] + ".tiktoken", "rb") as lines:
+        return max(int(line.split()[1]) for line in lines)
+
+
 class WordBytes(dict):
     """A word -> the ids of " word", as little-endian unsigned 32-bit numbers.
 

@@ -21,6 +21,7 @@ def awkward(spark):
         (7, "été à la plage \U0001f600 +1 (268) 555-6289 fin", "fr", "b", 41),
     ]
     clashing = ["block", "cls", "spans", "score", "kept", "n_tokens", "component_id", "__text_", "start", "length"]
+    clashing += ["base_email", "wide_ip", "all_card", "added_phone", "__text", "__spans", "__rows", "__kept", "id", "row", "repeated"]
     columns = SCHEMA + "".join(f", {name} string" for name in clashing)
     return spark.createDataFrame([(*r, *(["x"] * len(clashing))) for r in rows], columns)
 
