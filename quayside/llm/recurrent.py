@@ -7,19 +7,32 @@ cost more than what is computed into them.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+from functools import cache
+from itertools import chain, islice
+from pathlib import Path
+
 import numpy as np
 
 EMBEDDING = 16
 HIDDEN = 16
-#: Classes hold a multiple of so many words, about as many as there are classes.
-CLASS_WORDS = 16
+#: About so many classes of words for the square root of the number of words.
+CLASSES = 0.3
 #: Tokens that gradients reach back through; the state goes on beyond them.
 WINDOW = 32
-RATE = 0.01
+#: A longer document is learned from in spans of so many tokens side by side, each after a run through
+#: the window before it, which gives its state.
+SPAN = 2048
+#: Documents that learn side by side; one that ends makes room for the next.
+LANES = 512
+#: Step sizes at the beginning and the end of training, and steps of each replica until it is reached.
+RATES = (0.03, 0.002)
+WARM_UP = 8
 CLIP = 5.0
 #: Keeps parameters with hardly any gradient, as those of rare words, from moving like others.
 DAMPING = 1e-5
-#: A step on fewer tokens, as at the end of the longest documents, is smaller in proportion.
+#: A step on fewer tokens, as at the end of the last documents, is smaller in proportion.
 FULL_STEP = 2048
 #: Rows of the softmax that are computed together.
 OUTPUT_ROWS = 2048
@@ -27,6 +40,22 @@ OUTPUT_ROWS = 2048
 SCORED_ROWS = 16384
 
 
+@cache
+def one_blas_thread() -> None:
+    """Lets numpy's matrix products run in one thread, once for a worker.
+
+    They are small, so further threads only wait for each other, at the cost of other tasks.
+    Where the library cannot be told, nothing changes but the time.
+    """
+    maps = Path("/proc/self/maps")
+    loaded = {line.split()[-1] for line in maps.read_text().splitlines() if "openblas" in line} if maps.exists() else set()
+    for path in loaded:
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 class Documents:
     """Documents as lanes that run side by side, longest first; END begins and ends each."""
 
@@ -54,21 +83,73 @@ class Documents:
         return before, self.flat[index], there
 
 
+def spans(docs: Iterator[np.ndarray], size: int, lead: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Documents in spans of `size` tokens, with how many tokens in front are only run through."""
+    for ids in docs:
+        for at in range(0, len(ids), size):
+            before = min(at, lead)
+            yield ids[at - before : at + size], before
+
+
+def windows(docs: Iterator[tuple[np.ndarray, int]], lanes: int, size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Windows of spans that run side by side; a lane whose span ends takes the next one.
+
+    Each window has inputs (the token before; END before the first), targets, which of them are
+    learned from and which begin a span, all as (size, lanes), and the lanes of the window before
+    that go on.
+    """
+    running = [[*x, 0, 0] for x in islice(docs, lanes)]  # tokens, those not learned from, place, last token
+    going = None
+    while running:
+        target = np.zeros((len(running), size), np.int32)
+        there, fresh = np.zeros(target.shape, bool), np.zeros(target.shape, bool)
+        before = np.zeros_like(target)
+        for j, lane in enumerate(running):
+            before[j, 0], at = lane[3], 0
+            while at < size:
+                if lane[2] == len(lane[0]):
+                    found = next(docs, None)
+                    if found is None:
+                        break
+                    lane[:3] = *found, 0
+                ids, skip, start = lane[:3]
+                take = min(size - at, len(ids) - start)
+                fresh[j, at] = start == 0
+                target[j, at : at + take] = ids[start : start + take]
+                there[j, at + max(0, min(take, skip - start)) : at + take] = True
+                lane[2], at = start + take, at + take
+            lane[3] = target[j, at - 1]
+        before[:, 1:] = target[:, :-1]
+        before[fresh] = 0
+        yield before.T, target.T, there.T, fresh.T, going
+        # Lanes go on if something is left, or may still come.
+        ready = next(docs, None)
+        if ready is not None:
+            docs = chain([ready], docs)
+        going = np.array([j for j, lane in enumerate(running) if ready is not None or lane[2] < len(lane[0])], np.int64)
+        running = [running[j] for j in going.tolist()]
+
+
 class Network:
-    """Parameters by name; words are numbered by frequency, so classes hold words of like frequency."""
+    """Parameters by name; word 0 is the end, 1 stands for all unknown ones, others are numbered by frequency.
+
+    The end and the unknown words are classes of their own. The classes of other words hold words of
+    like frequency and have about equal shares of the square roots of the counts, so that
+    frequent words are in small classes.
+    """
 
     def __init__(self, counts: np.ndarray, seed: int = 7) -> None:
         draw = np.random.default_rng(seed)
         n = len(counts)
-        self.width = CLASS_WORDS * max(1, round(np.sqrt(n) / CLASS_WORDS))
-        self.words, self.classes = n, -(-n // self.width)
-        size = self.classes * self.width
+        frequency = np.asarray(counts, np.float64) + 1.0
+        parts = max(1, round(CLASSES * np.sqrt(n)))
+        mass = np.cumsum(np.sqrt(frequency[2:]))
+        cuts = np.searchsorted(mass, mass[-1] * np.arange(1, parts) / parts) + 3 if n > 2 else np.empty(0, np.int64)
+        self.starts = np.unique(np.r_[np.arange(min(n, 2) + 1), cuts, n])
+        self.words, self.classes = n, len(self.starts) - 1
+        self.class_of = np.repeat(np.arange(self.classes, dtype=np.int32), np.diff(self.starts))
         near = lambda *shape: (draw.standard_normal(shape) * 0.1).astype(np.float32)
-        frequency = np.zeros(size)
-        frequency[:n] = counts + 1.0
-        by_class = frequency.reshape(-1, self.width)
-        with np.errstate(divide="ignore"):
-            word_bias = np.where(by_class > 0, np.log(by_class / by_class.sum(axis=1, keepdims=True)), -1e9)
+        by_class = np.add.reduceat(frequency, self.starts[:-1])
         self.p = {
             "embed": near(n, EMBEDDING),
             "w": near(EMBEDDING, 3 * HIDDEN),
@@ -76,16 +157,31 @@ class Network:
             "b": np.zeros(3 * HIDDEN, np.float32),
             "cw": near(HIDDEN, self.classes),
             # The start is about the frequency of each class, and of each word in its class.
-            "cb": np.log(by_class.sum(axis=1) / frequency.sum()).astype(np.float32),
-            "ow": near(size, HIDDEN),
-            "ob": word_bias.reshape(-1).astype(np.float32),
+            "cb": np.log(by_class / frequency.sum()).astype(np.float32),
+            "ow": near(n, HIDDEN),
+            "ob": np.log(frequency / by_class[self.class_of]).astype(np.float32),
         }
-        self._moments: dict[str, list[np.ndarray]] = {}
-        self._steps = 0
+        self.p["cw"] *= np.float32(0.1)
+        self.p["ow"] *= np.float32(0.1)
+        #: Mean squares of the gradients, which go from round to round with the parameters.
+        self.squares = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.settled = False
         self._spare: dict[str, np.ndarray] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_spare": {}, "_moments": {}, "_steps": 0}
+        return self.__dict__ | {"_spare": {}}
+
+    def state(self) -> np.ndarray:
+        """Parameters and squares as one vector."""
+        return np.concatenate([x[k].ravel() for x in (self.p, self.squares) for k in sorted(x)])
+
+    def load(self, flat: np.ndarray) -> None:
+        at = 0
+        for x in (self.p, self.squares):
+            for k in sorted(x):
+                x[k] = flat[at : at + x[k].size].reshape(x[k].shape).astype(np.float32)
+                at += x[k].size
+        self.settled = True
 
     def _space(self, name: str, *shape: int) -> np.ndarray:
         """An array to write into; the next call with this name may give the same memory."""
@@ -94,19 +190,13 @@ class Network:
             self._spare[name] = np.empty(size, np.float32)
         return self._spare[name][:size].reshape(shape)
 
-    def to_bytes(self) -> bytes:
-        return b"".join(np.ascontiguousarray(self.p[k], np.float32).tobytes() for k in sorted(self.p))
-
-    def load(self, content: bytes | np.ndarray) -> None:
-        flat = np.frombuffer(content, np.float32) if isinstance(content, bytes) else content.astype(np.float32)
-        at = 0
-        for k in sorted(self.p):
-            size = self.p[k].size
-            self.p[k] = flat[at : at + size].reshape(self.p[k].shape).copy()
-            at += size
+    def _run(
+        self, projected: np.ndarray, before: np.ndarray, h: np.ndarray, keep: list | None = None, fresh: np.ndarray | None = None
+    ) -> np.ndarray:
+        """The states after each input, in borrowed memory; `keep` gets what the way back needs.
 
-    def _run(self, projected: np.ndarray, before: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """The states after each input, in borrowed memory; `keep` gets what the way back needs."""
+        Where `fresh`, a document begins and the state with it.
+        """
         n, (steps, lanes) = HIDDEN, before.shape
         out = self._space("states", steps, lanes, n)
         u_gates, u_new = self.p["u"][:, : 2 * n].copy(), self.p["u"][:, 2 * n :].copy()
@@ -115,6 +205,8 @@ class Network:
         new, size_new = self._space("new", lanes, n), self._space("size_new", lanes, n)
         gates, y = self._space("gates", lanes, 2 * n), self._space("y", lanes, n)
         for t in range(steps):
+            if fresh is not None and fresh[t].any():
+                h = np.where(fresh[t][:, None], np.float32(0), h)
             p_gates.take(before[t], axis=0, out=x, mode="clip")
             np.matmul(h, u_gates, out=gates)
             gates += x
@@ -151,50 +243,56 @@ class Network:
         p, out = self.p, np.empty(len(target))
         order = np.argsort(target, kind="stable")
         h, target = h[order], target[order]
-        cls = target // self.width
-        inner = target - cls * self.width
+        cls = self.class_of[target]
         back = None
         if grads is not None:
             back = np.empty_like(h)
             for k in ("cw", "cb", "ow", "ob"):
                 grads[k] = np.zeros_like(p[k])
+        c_back = p["cw"].T.copy()
+        every = np.arange(OUTPUT_ROWS)
+        ones = np.ones(max(OUTPUT_ROWS, self.words), np.float32)  # products with it are faster than sums
         for a in range(0, len(h), OUTPUT_ROWS):
             b = min(a + OUTPUT_ROWS, len(h))
-            hc, cc, rows = h[a:b], cls[a:b], np.arange(b - a)
+            hc, cc, rows = h[a:b], cls[a:b], every[: b - a]
             e = self._space("e", b - a, self.classes)
             np.matmul(hc, p["cw"], out=e)
             e += p["cb"]
             log = e[rows, cc]
             np.exp(e, out=e)
-            e_sum = e.sum(axis=1)
+            e_sum = e @ ones[: self.classes]
             out[a:b] = log - np.log(e_sum)
             if grads is not None:
                 e /= e_sum[:, None]
                 e[rows, cc] -= 1.0
                 grads["cw"] += hc.T @ e
-                grads["cb"] += e.sum(axis=0)
-                np.matmul(e, p["cw"].T, out=back[a:b])
+                grads["cb"] += ones[: b - a] @ e
+                np.matmul(e, c_back, out=back[a:b])
         found, edges = np.unique(cls, return_index=True)
         edges = [*edges.tolist(), len(h)]
         for i, c in enumerate(found.tolist()):
-            span = slice(c * self.width, (c + 1) * self.width)
-            o_weights = p["ow"][span].T.copy()
+            span = slice(int(self.starts[c]), int(self.starts[c + 1]))
+            width = span.stop - span.start
+            if width == 1:  # its word is certain
+                continue
+            weights = p["ow"][span]
+            o_weights = weights.T.copy()
             for a in range(edges[i], edges[i + 1], OUTPUT_ROWS):
                 b = min(a + OUTPUT_ROWS, edges[i + 1])
-                hc, at, rows = h[a:b], inner[a:b], np.arange(b - a)
-                f = self._space("f", b - a, self.width)
+                hc, at, rows = h[a:b], target[a:b] - span.start, every[: b - a]
+                f = self._space("f", b - a, width)
                 np.matmul(hc, o_weights, out=f)
                 f += p["ob"][span]
                 log = f[rows, at]
                 np.exp(f, out=f)
-                f_sum = f.sum(axis=1)
+                f_sum = f @ ones[:width]
                 out[a:b] += log - np.log(f_sum)
                 if grads is not None:
                     f /= f_sum[:, None]
                     f[rows, at] -= 1.0
                     grads["ow"][span] += f.T @ hc
-                    grads["ob"][span] += f.sum(axis=0)
-                    back[a:b] += f @ p["ow"][span]
+                    grads["ob"][span] += ones[: b - a] @ f
+                    back[a:b] += f @ weights
         log = np.empty(len(out))
         log[order] = out
         if grads is not None:
@@ -205,6 +303,7 @@ class Network:
 
     def score(self, docs: Documents) -> list[np.ndarray]:
         """The natural log-probability of each token of each document, the state carried to its end."""
+        one_blas_thread()
         projected = self.p["embed"] @ self.p["w"] + self.p["b"]
         out = np.zeros(len(docs.flat))
         h, at, longest = np.zeros((len(docs.sorted), HIDDEN), np.float32), 0, int(docs.sorted[0]) if len(docs.sorted) else 0
@@ -224,62 +323,99 @@ class Network:
             back[i] = x
         return back
 
-    def train(self, docs: Documents, stride: int, phase: int) -> int:
-        """Learns from every `stride`-th window of each document; the state runs through all of them.
-
-        Returns the number of tokens learned from.
-        """
-        longest = int(docs.sorted[0]) if len(docs.sorted) else 0
-        h, learned = np.zeros((len(docs.sorted), HIDDEN), np.float32), 0
-        for number, at in enumerate(range(0, longest, WINDOW)):
-            before, target, there = docs.window(at, min(WINDOW, longest - at))
-            h = h[: before.shape[1]]
-            if number % stride == phase % stride:
-                h = self._learn(before, target, there, h)
-                learned += int(there.sum())
-            else:
-                h = self._run(self.p["embed"] @ self.p["w"] + self.p["b"], before, h)[-1].copy()
+    def train(self, docs: Iterator[np.ndarray], rate: float, lanes: int = LANES) -> int:
+        """Learns from every window of each document, the state running through it. Returns the tokens."""
+        one_blas_thread()
+        h, learned, steps = np.zeros((0, HIDDEN), np.float32), 0, 0
+        mean = {k: np.zeros_like(v) for k, v in self.p.items()}
+        for before, target, there, fresh, going in windows(spans(docs, SPAN, WINDOW), lanes, WINDOW):
+            h = np.zeros((before.shape[1], HIDDEN), np.float32) if going is None else h[going]
+            steps += 1
+            h, grads = self._gradients(before, target, there, fresh, h)
+            count = int(there.sum())
+            self._step(grads, max(FULL_STEP, count), mean, steps, rate)
+            learned += count
+        if steps and not self.settled:  # the squares began at 0
+            for v in self.squares.values():
+                v /= np.float32(1 - 0.99**steps)
         return learned
 
-    def _learn(self, before: np.ndarray, target: np.ndarray, there: np.ndarray, h: np.ndarray) -> np.ndarray:
+    def _gradients(
+        self, before: np.ndarray, target: np.ndarray, there: np.ndarray, fresh: np.ndarray, h: np.ndarray
+    ) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """The state after a window and the gradients of minus the log-probability of its targets."""
         p, n, keep, grads = self.p, HIDDEN, [], {}
-        projected = p["embed"] @ p["w"] + p["b"]
-        states = self._run(projected, before, h, keep).copy()
-        _, back = self._words_of(states[there], target[there], grads)
+        # Only the window's words are projected.
+        names, local = np.unique(before, return_inverse=True)
+        local = local.reshape(before.shape).astype(np.int32)
+        projected = p["embed"][names] @ p["w"] + p["b"]
+        states = self._run(projected, local, h, keep, fresh).copy()
+        whole = bool(there.all())
         outer = np.zeros_like(states)
-        outer[there] = back
+        _, back = self._words_of(states.reshape(-1, n) if whole else states[there], target.ravel() if whole else target[there], grads)
+        if whole:
+            outer = back.reshape(states.shape)
+        else:
+            outer[there] = back
         du, dx = np.zeros_like(p["u"]), np.empty((*before.shape, 3 * n), np.float32)
-        dh = np.zeros_like(h)
+        dh, back_u = np.zeros_like(states[0]), p["u"].T.copy()
+        dy = np.empty((before.shape[1], 3 * n), np.float32)
         for t in range(len(keep) - 1, -1, -1):
             prev, sign, yn, new = keep[t]
-            z, r = (sign[:, :n] + 1) / 2, (sign[:, n:] + 1) / 2
-            slope = (1 - np.abs(sign)) ** 2 / 2
-            dh = dh + outer[t]
-            dn = dh * (1 - z) * (1 - np.abs(new)) ** 2
-            dz = dh * (prev - new) * slope[:, :n]
-            dr = dn * yn * slope[:, n:]
-            dx[t, :, :n], dx[t, :, n : 2 * n], dx[t, :, 2 * n :] = dz, dr, dn
-            dy = np.concatenate([dz, dr, dn * r], axis=1)
+            gate = sign * np.float32(0.5)
+            gate += np.float32(0.5)
+            z, r = gate[:, :n], gate[:, n:]
+            slope = np.abs(sign)
+            np.subtract(np.float32(1), slope, out=slope)
+            slope *= slope
+            slope *= np.float32(0.5)
+            dh += outer[t]
+            bend = np.abs(new)
+            np.subtract(np.float32(1), bend, out=bend)
+            bend *= bend
+            d_z = dh * z
+            dn = dh - d_z
+            dn *= bend
+            np.subtract(prev, new, out=bend)
+            bend *= dh
+            bend *= slope[:, :n]
+            dr = dn * yn
+            dr *= slope[:, n:]
+            dy[:, :n], dy[:, n : 2 * n] = bend, dr
+            dx[t, :, : 2 * n], dx[t, :, 2 * n :] = dy[:, : 2 * n], dn
+            np.multiply(dn, r, out=dy[:, 2 * n :])
             du += prev.T @ dy
-            dh = dh * z + dy @ p["u"].T
-        flat, rows = before.ravel(), dx.reshape(-1, 3 * n)
+            dh = dy @ back_u
+            dh += d_z
+            if fresh[t].any():  # nothing goes back beyond a document's beginning
+                dh[fresh[t]] = 0
+        flat, rows = local.ravel(), dx.reshape(-1, 3 * n)
         order = np.argsort(flat, kind="stable")
         starts = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-        by_word = np.zeros_like(projected)
-        by_word[flat[order][starts]] = np.add.reduceat(rows[order], starts, axis=0)
-        grads |= {"u": du, "w": p["embed"].T @ by_word, "b": by_word.sum(axis=0), "embed": by_word @ p["w"].T}
-        self._step(grads, max(FULL_STEP, int(there.sum())))
-        return states[-1].copy()
-
-    def _step(self, grads: dict[str, np.ndarray], count: int) -> None:
-        """Adam on the mean gradient, clipped in length."""
-        length = np.sqrt(sum(float((g * g).sum()) for g in grads.values())) / count
-        factor = (1.0 if length <= CLIP else CLIP / length) / count
-        self._steps += 1
+        by_word = np.add.reduceat(rows[order], starts, axis=0)
+        embed = np.zeros_like(p["embed"])
+        embed[names] = by_word @ p["w"].T
+        grads |= {"u": du, "w": p["embed"][names].T @ by_word, "b": by_word.sum(axis=0), "embed": embed}
+        return states[-1].copy(), grads
+
+    def _step(self, grads: dict[str, np.ndarray], count: int, mean: dict[str, np.ndarray], steps: int, rate: float) -> None:
+        """Adam on the mean gradient, clipped in length; squares that came with the parameters need no correction."""
+        length = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values())) / count
+        factor = np.float32((1.0 if length <= CLIP else CLIP / length) / count)
+        fast, slow = 1 - 0.9**steps, 1.0 if self.settled else 1 - 0.99**steps
+        size = np.float32(rate * min(1.0, steps / WARM_UP) / fast)
         for k, g in grads.items():
-            first, second = self._moments.setdefault(k, [np.zeros_like(g), np.zeros_like(g)])
-            g = g * np.float32(factor)
-            first += np.float32(0.1) * (g - first)
-            second += np.float32(0.01) * (g * g - second)
-            a, b = first / (1 - 0.9**self._steps), second / (1 - 0.99**self._steps)
-            self.p[k] = (self.p[k] - RATE * a / (np.sqrt(b) + DAMPING)).astype(np.float32)
+            m, v = mean[k], self.squares[k]
+            g *= factor
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * g
+            g *= g
+            g -= v
+            g *= np.float32(0.01)
+            v += g
+            np.divide(v, np.float32(slow), out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(DAMPING)
+            np.divide(m, g, out=g)
+            g *= size
+            self.p[k] -= g

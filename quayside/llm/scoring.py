@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import slices, stage
 from quayside.llm.language import remainder
-from quayside.llm.recurrent import Documents, Network
+from quayside.llm.recurrent import RATES, SPAN, Documents, Network
+from quayside.session import work_dir
 
 #: Stands for the end of a text; no word has this byte.
 END = b"\n"
@@ -24,12 +26,12 @@ END_ID, OTHER_ID = 0, 1
 RARITY = 16
 #: Rows of a block: its documents are scored together with the counts of its words.
 BLOCK_ROWS = 4096
-#: Rounds of training; each learns from a part of the documents, in all from each once.
-ROUNDS = 2
-#: Of each document's windows, every so many is learned from: all of them.
-STRIDE = 1
-#: Documents that learn side by side, one step for a window of all of them.
-LANES = 256
+#: Tokens that a replica of the network learns from, in ROUNDS rounds with an average after each.
+TASK_TOKENS = 4_000_000
+ROUNDS = 4
+#: Few documents are gone through again, until so many tokens are learned from, but not more often than this.
+LEAST_TOKENS = 1_000_000
+MOST_PASSES = 3
 #: Replicas are added up in groups of so many until so many are left; of large ones in smaller groups.
 FAN_IN = 64
 #: Bytes of replicas that are added up together.
@@ -123,53 +125,77 @@ def _numbers(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     return np.array([known.get(w, OTHER_ID) for w in words] + [END_ID], np.int32)
 
 
-def _train(blocks: DataFrame, known: dict[bytes, int], network: Network) -> None:
-    """Each round, every task trains a replica on its documents; the mean of them is the next start.
+def _dealt(blocks: DataFrame, known: dict[bytes, int], parts: int) -> str:
+    """Where the training documents lie as word numbers, dealt at random into rounds and parts.
 
-    Replicas count by the tokens they learned from. They are added up in the cluster, FAN_IN at
-    a time and no more than FAN_IN_BYTES, so the driver gets FAN_IN of them at most.
+    The deal depends on the documents alone, not on how they are partitioned or read.
     """
     spark = blocks.sparkSession
-    fan_in = max(2, min(FAN_IN, FAN_IN_BYTES // (2 * len(network.to_bytes()))))
-    for number in range(ROUNDS):
-        start = spark.sparkContext.broadcast((known, network))
-
-        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names, first = start.value  # noqa: B023
-            mine = Network(np.zeros(first.words))
-            mine.load(first.to_bytes())
-            learned, held, task, part = 0, [], 0, 0
-            for batch in slices(batches):
-                for block, text in zip(batch["block"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                    task = block
-                    held.append(_numbers(words_of(text), names))
-                    if len(held) == BLOCK_ROWS:
-                        learned, part, held = learned + _learn_all(mine, held, part + block), part + 1, []
-            if held:
-                learned += _learn_all(mine, held, part + task)
-            if learned:
-                weighted = np.frombuffer(mine.to_bytes(), np.float32).astype(np.float64) * learned
-                yield pa.RecordBatch.from_pydict({"task": [task], "learned": [learned], "params": [weighted.tobytes()]})
-
-        chosen = blocks.filter(F.col("training") & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == number))
-        replicas = stage(chosen.select("block", "text").mapInArrow(learn, "task long, learned long, params binary"), "replicas")
+    names = spark.sparkContext.broadcast(known)
+    kind = np.uint16 if len(known) < 1 << 16 else np.int32
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ids = [_numbers(words_of(t), names.value).astype(kind).tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch["round"], batch["part"], batch["place"], pa.array(ids, pa.binary())], ["round", "part", "place", "ids"]
+            )
+
+    place = F.xxhash64("doc_id", "text")
+    chosen = blocks.filter("training").select(
+        F.pmod(place, F.lit(ROUNDS)).cast("int").alias("round"),
+        F.pmod(F.shiftright(place, 16), F.lit(parts)).cast("int").alias("part"),
+        place.alias("place"),
+        "text",
+    )
+    path = work_dir(spark, "word-numbers")
+    numbered = chosen.mapInArrow(number, "round int, part int, place long, ids binary")
+    numbered.write.partitionBy("round").option("compression", "zstd").parquet(path)
+    return path
+
+
+def _in_order(rows: pa.Table, kind: type) -> list[np.ndarray]:
+    """The documents in an order of their own, those of many tokens first, so that all lanes end at about a time."""
+    order = np.argsort(rows["place"].to_numpy(), kind="stable")
+    ids = [np.frombuffer(rows["ids"][i].as_py(), kind).astype(np.int32) for i in order.tolist()]
+    return sorted((x for x in ids if len(x) >= SPAN), key=len, reverse=True) + [x for x in ids if len(x) < SPAN]
+
+
+def _train(blocks: DataFrame, known: dict[bytes, int], network: Network, total: int) -> None:
+    """Each round, replicas learn from the round's documents, one for each part; their mean is the next start.
+
+    There are as many replicas as there are TASK_TOKENS in the `total` training tokens, so how the
+    table is partitioned makes no difference, and each learns from every window of its documents. They count by the
+    tokens they learned from. They are added up in the cluster, FAN_IN at a time and no more than
+    FAN_IN_BYTES, so the driver gets FAN_IN of them at most.
+    """
+    if not total:
+        return
+    spark = blocks.sparkSession
+    parts = max(1, round(total / TASK_TOKENS))
+    path = _dealt(blocks, known, parts)
+    fan_in = max(2, min(FAN_IN, FAN_IN_BYTES // (8 * len(network.state()))))
+    kind = np.uint16 if len(known) < 1 << 16 else np.int32
+    rounds = ROUNDS * min(MOST_PASSES, max(1, math.ceil(LEAST_TOKENS / total)))
+    for number in range(rounds):
+        rate = RATES[0] * (RATES[1] / RATES[0]) ** (number / max(1, rounds - 1))
+        start = spark.sparkContext.broadcast(network)
+
+        def learn(rows: pa.Table) -> pa.Table:
+            mine = copy.deepcopy(start.value)  # noqa: B023
+            learned = mine.train(iter(_in_order(rows, kind)), rate)  # noqa: B023
+            weighted = mine.state().astype(np.float64) * learned
+            return pa.table({"task": pa.array([rows["part"][0].as_py()], pa.int64()), "learned": [learned], "params": [weighted.tobytes()]})
+
+        mine = spark.read.parquet(path).filter(F.col("round") == number % ROUNDS).select("part", "place", "ids")
+        learned = mine.repartition(parts, "part").groupBy("part").applyInArrow(learn, "task long, learned long, params binary")
+        replicas = stage(learned, "replicas")
         while (count := replicas.count()) > fan_in:
             grouped = replicas.withColumn("task", F.pmod(F.xxhash64("task"), F.lit(max(1, -(-count // fan_in)))))
             replicas = stage(grouped.groupBy("task").applyInArrow(_added, "task long, learned long, params binary"), "replicas")
         rows = replicas.collect()
         if rows:
-            total = sum(np.frombuffer(r["params"], np.float64) for r in rows)
-            network.load(total / sum(r["learned"] for r in rows))
-
-
-def _learn_all(network: Network, ids: list[np.ndarray], phase: int) -> int:
-    """Documents of like length learn side by side, LANES at a time; the order is random."""
-    ids = sorted(ids, key=len)
-    groups = [ids[i : i + LANES] for i in range(0, len(ids), LANES)]
-    learned = 0
-    for i in np.random.default_rng(phase % 2**32).permutation(len(groups)).tolist():
-        learned += network.train(Documents(groups[i]), STRIDE, phase + i)
-    return learned
+            network.load(sum(np.frombuffer(r["params"], np.float64) for r in rows) / sum(r["learned"] for r in rows))
 
 
 def _added(rows: pa.Table) -> pa.Table:
@@ -198,12 +224,13 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
 
     Counts cover all documents. Words come back to the documents by block: one shuffle of the
     blocks' distinct words by word, one of them and of the texts by block. The network learns in
-    replicas next to the data, from every window of every training document.
+    replicas, one for each TASK_TOKENS training tokens, from every window of every training document;
+    the word numbers of these are shuffled once.
     """
     blocks = _blocks(docs, training)
     counts = word_counts(blocks)
     known, network, total, distinct, frequent = _network(counts)
-    _train(blocks, known, network)
+    _train(blocks, known, network, total)
     inner = len(known) - 1  # the known words but the end
     rest_words = max(0, distinct - inner - 1)
     shared = docs.sparkSession.sparkContext.broadcast((known, network, total, distinct, total - frequent, rest_words))

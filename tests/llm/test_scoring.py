@@ -3,11 +3,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import scoring
-from quayside.llm.recurrent import CLASS_WORDS, WINDOW, Documents, Network
+from quayside.llm.recurrent import SPAN, WINDOW, Documents, Network, spans, windows
 
 
 def words(text):
@@ -51,26 +51,21 @@ def test_awkward(awkward, no_docs):
     assert {r["train_tokens"] for r in nothing} == {0} and {r["n_known"] for r in nothing} == {0}
 
 
-def test_network_learns(sf_dir):
-    """Passes over three quarters of the documents raise the likelihood of the others."""
-    texts = pq.read_table(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet")["text"].to_pylist()
-    counts = Counter(w for t in texts[250:] for w in words(t)[:-1]).most_common(200)
-    known = {b"\n": 0} | {w: i for i, (w, _) in enumerate(counts, 2)}
-    ids = [scoring._numbers(words(t)[:-1], known) for t in texts]
-    rest = sum(map(len, ids[250:])) - 750 - sum(n for _, n in counts)
-    net = Network(np.array([750, rest, *(n for _, n in counts)], float))
-    held = Documents(ids[:250])
-    before = sum(x.sum() for x in net.score(held))
-    for number in range(4):
-        scoring._learn_all(net, ids[250:], number)
-    assert sum(x.sum() for x in net.score(held)) > 0.97 * before > before
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_better_than_counts(spark, sf_dir, partitions):
+    """Held-out texts are likelier than by the counts, however the table is partitioned."""
+    docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet").repartition(partitions)
+    held = [r for r in scoring.score_held_out(docs).collect() if r["held_out"]]
+    tokens, base, score = (sum(r[k] for r in held) for k in ("n_tokens", "base_score", "score"))
+    assert score > base + 0.1 * tokens
+    assert np.mean([r["score"] > r["base_score"] for r in held]) > 0.8
 
 
 def trained():
     draw = np.random.default_rng(5)
     net = Network(np.arange(70, 0, -1).astype(float))
     ids = [np.append(draw.integers(1, 70, n), 0).astype(np.int32) for n in (0, 3, 40, 200, 7, 90)]
-    net.train(Documents(ids), 1, 0)
+    net.train(iter(ids), 0.01)
     return net, ids
 
 
@@ -79,7 +74,7 @@ def test_probabilities_add_up():
     h = np.random.default_rng(0).uniform(-1, 1, (1, net.p["u"].shape[0])).astype(np.float32)
     log = net._words_of(np.repeat(h, 70, axis=0), np.arange(70), None)[0]
     assert abs(np.exp(log).sum() - 1) < 1e-5
-    assert net.p["ow"].shape[0] % CLASS_WORDS == 0
+    assert net.starts[:3].tolist() == [0, 1, 2] and net.starts[-1] == 70 and (np.diff(net.starts) > 0).all()
 
 
 def test_state_is_carried():
@@ -98,18 +93,75 @@ def test_state_is_carried():
 
 def test_replicas_add_up():
     net, _ = trained()
-    other = Network(np.zeros(70))
-    other.load(net.to_bytes())
-    assert all((other.p[k] == net.p[k]).all() for k in net.p)
+    other = Network(np.arange(70, 0, -1).astype(float))
+    other.load(net.state())
+    assert all((other.p[k] == net.p[k]).all() and (other.squares[k] == net.squares[k]).all() for k in net.p)
 
 
-def test_every_token_is_learned_from(monkeypatch):
-    """Texts of any length, also of one window only, teach all of their tokens in any phase."""
+@pytest.mark.parametrize("lanes", [1, 2, 4, 100])
+def test_every_token_is_learned_from(lanes):
+    """Lanes are refilled: each document is there once, whole, after the end of the one before it."""
     draw = np.random.default_rng(3)
-    monkeypatch.setattr(scoring, "LANES", 2)
-    ids = [np.append(draw.integers(1, 70, n), 0).astype(np.int32) for n in (0, 3, 5, 20, 31, 40, 70, 95, 200)]
-    for phase in range(4):
-        assert scoring._learn_all(Network(np.arange(70, 0, -1).astype(float)), ids, phase) == sum(map(len, ids))
+    ids = [np.append(draw.integers(1, 70, n), 0).astype(np.int32) for n in (0, 3, 5, 20, 31, 40, 70, 95, 200, 0, 1)]
+    seen, running, sizes = [], [], []
+    for before, target, there, fresh, going in windows(((x, 0) for x in ids), lanes, 32):
+        running = [[] for _ in range(before.shape[1])] if going is None else [running[j] for j in going.tolist()]
+        assert before.shape[1] == len(running) <= lanes
+        sizes.append(int(there.sum()))
+        for j, mine in enumerate(running):
+            for t in range(32):
+                if not there[t, j]:
+                    assert not there[t:, j].any()
+                    break
+                if fresh[t, j]:
+                    assert before[t, j] == 0
+                    mine.append([])
+                    seen.append(mine[-1])
+                else:
+                    assert before[t, j] == mine[-1][-1]
+                mine[-1].append(int(target[t, j]))
+    assert sorted(seen) == sorted(x.tolist() for x in ids)
+    if lanes == 2:
+        assert sizes == sorted(sizes, reverse=True)
+    assert Network(np.arange(70, 0, -1).astype(float)).train(iter(ids), 0.01, lanes) == sum(map(len, ids))
+
+
+def test_spans():
+    """Spans of a long document teach each token once, after the state of the window before."""
+    ids = np.arange(100, dtype=np.int32)
+    cut = list(spans(iter([ids, ids[:5], ids[:40], ids[:41]]), 40, 8))
+    assert [(x[0], x[-1], skip) for x, skip in cut] == [(0, 39, 0), (32, 79, 8), (72, 99, 8), (0, 4, 0), (0, 39, 0), (0, 39, 0), (32, 40, 8)]
+    assert np.concatenate([x[skip:] for x, skip in cut[:3]]).tolist() == ids.tolist()
+    learned = [target[there].tolist() for _, target, there, _, _ in windows(iter(cut), 3, 16)]
+    assert sorted(sum(learned, [])) == sorted(np.concatenate([ids, ids[:5], ids[:40], ids[:41]]).tolist())
+    long = [np.append(np.random.default_rng(2).integers(1, 70, 3 * SPAN + 7), 0).astype(np.int32)]
+    assert Network(np.arange(70, 0, -1).astype(float)).train(iter(long), 0.01) == 3 * SPAN + 8
+
+
+def test_gradients():
+    """Against differences of the likelihood, with documents that begin within a window."""
+    net = Network(np.r_[5.0, 40, np.arange(30, 0, -1)])
+    net.p = {k: (v.astype(np.float64) + (0.3 * np.random.default_rng(1).standard_normal(v.shape) if k != "ob" else 0)).astype(np.float32) for k, v in net.p.items()}
+    draw = np.random.default_rng(8)
+    ids = [np.append(draw.integers(1, 32, n), 0).astype(np.int32) for n in (3, 0, 9, 6, 30)]
+    before, target, there, fresh, _ = next(windows(((x, 0) for x in ids), 2, 16))
+    h = np.zeros((2, net.p["u"].shape[0]), np.float32)
+    _, grads = net._gradients(before, target, there, fresh, h)
+    grads = {k: v.copy() for k, v in grads.items()}
+
+    def loss():
+        states = net._run(net.p["embed"] @ net.p["w"] + net.p["b"], before, h, None, fresh).copy()
+        return -net._words_of(states[there], target[there], None)[0].sum()
+
+    for k in net.p:
+        at = np.unravel_index(np.abs(grads[k]).argmax(), grads[k].shape)
+        old, step = net.p[k][at], np.float32(1e-2)
+        values = []
+        for sign in (1, -1):
+            net.p[k][at] = old + sign * step
+            values.append(loss())
+        net.p[k][at] = old
+        assert abs((values[0] - values[1]) / (2 * step) - grads[k][at]) < 0.02 * abs(grads[k][at]) + 0.01, k
 
 
 def test_vocabulary_grows(spark):
@@ -120,5 +172,5 @@ def test_vocabulary_grows(spark):
     known, net, total, distinct, frequent = scoring._network(counts)
     assert total == 9004 and distinct == 1503 and frequent == 9002
     assert scoring.least_count(total) == 6 and len(known) == 1501 and net.words == 1502
-    assert net.classes * net.width >= net.words and 0.5 < net.classes / net.width < 2
+    assert 0.15 < net.classes / math.sqrt(net.words) < 1.5 and net.class_of.shape == (net.words,)
     assert scoring.least_count(10**10) == 6250 and scoring.least_count(0) == 2
