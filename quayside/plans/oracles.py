@@ -197,6 +197,11 @@ _MESSAGE = (
     " || \"offset\" || ''' with JsonSchemaDecoder' AS message"
 )
 
+_LANDED_TOTALS = _records(
+    """SELECT stream_id, count(*) AS record_count, count(*) FILTER (WHERE line_bytes > 0) AS line_count,
+    CAST(sum(line_bytes) AS BIGINT) AS raw_size_b FROM c GROUP BY stream_id"""
+)
+
 ORACLES: dict[str, str] = {
     "records_scan": _records(
         """SELECT topic, "partition", "offset", event_id AS arrival_seq,
@@ -327,10 +332,8 @@ FROM f WHERE outcome = 'decode_error'"""
         """SELECT line, replace(stream_id, chr(31), '/') AS stream, CAST(ts AS DATE) AS ingest_year_month_day
 FROM f WHERE outcome = 'ok'"""
     ),
-    "stream_landing": _records(
-        """SELECT stream_id, count(*) AS record_count, count(*) FILTER (WHERE line_bytes > 0) AS line_count,
-    CAST(sum(line_bytes) AS BIGINT) AS raw_size_b FROM c GROUP BY stream_id"""
-    ),
+    "stream_landing": _LANDED_TOTALS,
+    "landed_snapshot": _LANDED_TOTALS,
     "stream_carry": _sealed(
         "SELECT stream_id, record_count, line_count, raw_size_b, created_us, seal_reason FROM files"
     ),

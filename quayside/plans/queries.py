@@ -34,6 +34,7 @@ from quayside.sinks.landing import (
     read_partitioned,
     write_partitioned,
 )
+from quayside.sinks.snapshots import landed_files, write_snapshot
 from quayside.sources.landed import read_landed
 from quayside.sources.records import read_record_file_stream
 from quayside.sources.replay import replay_config, replay_events
@@ -315,13 +316,17 @@ def file_offsets(spark, sf_dir):
     return offsets.file_offsets(_planned(spark, sf_dir))
 
 
-def _uploaded(spark, sf_dir) -> DataFrame:
-    """Offsets released so far: those of files sealed by size and of quarantined records."""
+def _released(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Records of the files sealed by size so far, and those that went to quarantine."""
     records = _processed(spark, sf_dir, offsets=True)
     rules = SealRules(TARGET)
     planned = assign_files(consumed(records), rules, ("topic", "partition", "offset"))
-    sealed = in_full_files(planned, rules)
-    rejected = records.where("outcome = 'decode_error'")
+    return in_full_files(planned, rules), records.where("outcome = 'decode_error'")
+
+
+def _uploaded(spark, sf_dir) -> DataFrame:
+    """Offsets released so far: those of files sealed by size and of quarantined records."""
+    sealed, rejected = _released(spark, sf_dir)
     address = ["topic", "partition", "offset"]
     ranges = offsets.offset_ranges(sealed.select(*address).unionByName(rejected.select(*address)))
     # A few ranges that several steps read, as the stored ones of a streaming run would be.
@@ -329,7 +334,13 @@ def _uploaded(spark, sf_dir) -> DataFrame:
 
 
 def uploaded_offsets(spark, sf_dir):
-    return _uploaded(spark, sf_dir)
+    """The same as the union over a manifest: a row per sealed file and one per rejected range."""
+    sealed, rejected = _released(spark, sf_dir)
+    span = F.struct("topic", "partition", "start", "end")
+    files = offsets.file_offsets(sealed).groupBy("shard", "stream_id", "file_seq")
+    files = files.agg(F.collect_list(span).alias("offsets"), F.lit("uploaded").alias("status")).select("status", "offsets")
+    ranges = offsets.offset_ranges(rejected.select("topic", "partition", "offset"))
+    return offsets.uploaded_offsets(files.unionByName(ranges.select(F.lit("released").alias("status"), F.array(span).alias("offsets"))))
 
 
 def _watermarks(spark, sf_dir) -> DataFrame:
@@ -467,6 +478,22 @@ def landed_two_runs(spark, sf_dir):
     return read_landed(spark, path).select("stream_id", F.col("line").cast("string").alias("line"))
 
 
+def landed_snapshot(spark, sf_dir):
+    """Lines and records per stream after two jobs, by the snapshot made between them and its tail."""
+    path, config = work_dir(spark, "landed"), replay_config(spark)
+    records = replay_events(spark, sf_dir, offsets=True)
+    options = LandingOptions(target_bytes=TARGET, segment_offsets=150)
+    land(records.where("partition < 4"), config, path, options)
+    write_snapshot(spark, path)
+    land(records.where("partition >= 4"), config, path, options)
+    files = landed_files(spark, path)
+    return files.groupBy("stream_id").agg(
+        F.sum("record_count").alias("record_count"),
+        F.sum("line_count").alias("line_count"),
+        F.sum("raw_size_b").alias("raw_size_b"),
+    )
+
+
 def landed_quarantine(spark, sf_dir):
     rejects = quarantined(spark, _landed(spark, sf_dir))
     return rejects.select("topic", "partition", "offset", "error_class", "message")
@@ -571,6 +598,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_roundtrip": landed_roundtrip,
     "landed_source": landed_source,
     "landed_two_runs": landed_two_runs,
+    "landed_snapshot": landed_snapshot,
     "landed_quarantine": landed_quarantine,
     "landed_fast": landed_fast,
     "stream_landing": stream_landing,

@@ -41,7 +41,8 @@ def read_landed(
 ) -> DataFrame:
     """Lines of the landed files: `stream_id, object_key, line`.
 
-    `files` selects manifest rows; all uploaded ones by default.
+    `files` selects manifest rows, such as `landed_files` finds by day, stream or offsets; all
+    uploaded ones by default. Only their objects are opened.
     """
     files = manifest(spark, path) if files is None else files
     files = files.where("status = 'uploaded'")
