@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -32,10 +31,8 @@ MARGIN = 0.25
 BROADCAST_ROWS = 200_000
 #: Above so many untested pairs in its buckets a round first finds which shingles are shared at all.
 UNTESTED_PAIRS = 200_000
-#: Bits an id, bits in all (16 MB) and bits that are looked at in the filter of dropped ids.
-SIEVE_BITS = 16
-MOST_SIEVE_BITS = 1 << 27
-SIEVE_PROBES = 5
+#: Dropped ids are told apart by so many hash values before texts are shuffled; no more rows are broadcast.
+SIEVE = 1 << 21
 
 _SEEDS = np.random.default_rng(20240501)
 _FACTORS = _SEEDS.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -292,47 +289,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _sieve(ids: DataFrame) -> Column:
-    """Whether the column `id` may be among `ids` (id): false for few others, true for all of these.
-
-    A Bloom filter with SIEVE_BITS an id and MOST_SIEVE_BITS in all, built in the cluster. Beyond
-    that it lets more pass, which costs only time.
-    """
-    bits = 1 << max(13, min(MOST_SIEVE_BITS, SIEVE_BITS * ids.count()).bit_length() - 1)
-    first, step = F.xxhash64("id"), F.xxhash64("id", F.lit("step"))
-    places = F.array(*(F.pmod(F.shiftright(first, 1) + F.shiftright(step, 4) * i, F.lit(bits)) for i in range(SIEVE_PROBES)))
-    set_bits = ids.select(F.explode(places).alias("at")).groupBy(F.expr("at div 64").alias("word"))
-    words = set_bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 AS int))")).alias("set")).toPandas()
-    sieve = np.zeros(bits // 64, np.int64)
-    sieve[words["word"].to_numpy(np.int64)] = words["set"].to_numpy(np.int64)
-    shared = ids.sparkSession.sparkContext.broadcast(sieve)
-
-    @F.pandas_udf("boolean")
-    def may(first: pd.Series, step: pd.Series) -> pd.Series:
-        known, passes = shared.value, np.ones(len(first), bool)
-        a, b = first.to_numpy(np.int64) >> 1, step.to_numpy(np.int64) >> 4
-        for i in range(SIEVE_PROBES):
-            at = (a + b * i) % bits
-            passes &= (known[at >> 6] >> (at & 63)) & 1 == 1
-        return pd.Series(passes)
-
-    return F.col("id").isNotNull() & may(first, step)
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, that are kept; equal rows stay once.
 
     Rows without a doc_id and rows of null or wordless texts are kept; of rows with one doc_id and
-    text one stays. No rows give none. The texts of the rows that stay are not shuffled: only those
-    whose doc_id may be among the dropped or repeated ones, by a Bloom filter, meet the list of these.
+    text one stays. No rows give none. The texts of most rows that stay are not shuffled: only those
+    whose doc_id has a hash value in common with a dropped or repeated one meet the list of these.
+    Among very many dropped ids that is most rows, which costs time and no result.
     """
     counted = near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.sum(F.col("kept").cast("long")).alias("kept"))
     special = stage(counted.filter("kept <> 1").select(F.col("doc_id").alias("id"), (F.col("kept") > 1).alias("repeated")), "dropped")
+    value = F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("value")
+    values = F.broadcast(special.select(value).distinct())  # SIEVE rows at most
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    may = _sieve(special)
-    found = rows.filter(may).join(special, "id", "left")
+    rows = rows.withColumn("value", F.when(F.col("id").isNotNull(), value))
+    found = rows.join(values, "value", "left_semi").join(special, "id", "left")
     repeated = found.filter("repeated").withColumn("text", F.col("row.text")).dropDuplicates(["id", "text"])
-    kept = rows.filter(~may).select("row").union(found.filter("repeated IS NULL").select("row")).union(repeated.select("row"))
+    kept = rows.join(values, "value", "left_anti").select("row")
+    kept = kept.union(found.filter("repeated IS NULL").select("row")).union(repeated.select("row"))
     return kept.select("row.*")
 
 
