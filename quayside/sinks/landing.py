@@ -163,6 +163,16 @@ def _seeds(opened: DataFrame, columns: list[str], like: DataFrame) -> DataFrame:
     )
 
 
+def object_metadata(lines: int, raw: int, compressed: int) -> dict[str, str]:
+    """What an object says of itself."""
+    # The names.
+    return {
+        "record_count": str(lines),
+        "raw_size_bytes": str(raw),
+        "compression_ratio": ratio_text(raw, compressed),
+    }
+
+
 class _OpenFile:
     """Contents and bookkeeping of the file being filled."""
 
@@ -310,12 +320,7 @@ class _Lander:
                 folder, name = "open", f"{batch_folder(self.run_id, self.batch_id)}/{suffix}"
             else:
                 folder, name = "objects", landed_key(stream, self.sealed_us, suffix, self.escape)
-            # The names of what an object says of itself.
-            about = {
-                "record_count": str(file.lines),
-                "raw_size_bytes": str(file.raw),
-                "compression_ratio": ratio_text(file.raw, len(content)),
-            }
+            about = object_metadata(file.lines, file.raw, len(content))
             target = f"{self.root}/{folder}/{name}"
             failed = put(self.store, target, content, self.options.max_retries, metadata=about)
         # A file of skipped records only has no object; its offsets are released all the same.
