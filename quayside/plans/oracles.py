@@ -337,6 +337,16 @@ FROM f WHERE outcome = 'ok'"""
     "stream_carry": _sealed(
         "SELECT stream_id, record_count, line_count, raw_size_b, created_us, seal_reason FROM files"
     ),
+    "stream_open_files": _sealed(
+        "SELECT stream_id, record_count, line_count, raw_size_b, created_us, seal_reason FROM files"
+    ),
+    "stream_report": _sealed(
+        """SELECT CAST(sum(line_count) AS BIGINT) AS lines_taken, CAST(sum(raw_size_b) AS BIGINT) AS bytes_taken,
+    CAST(sum(line_count) FILTER (WHERE seal_reason = 'size') AS BIGINT) AS record_count,
+    CAST(sum(raw_size_b) FILTER (WHERE seal_reason = 'size') AS BIGINT) AS raw_size_b,
+    count(*) FILTER (WHERE seal_reason = 'size') AS files_sealed,
+    (SELECT count(*) FROM f WHERE outcome = 'decode_error') AS rejects FROM files"""
+    ),
     "stream_commits": _records(
         'SELECT topic, "partition", max("offset") + 1 AS commit_offset FROM f GROUP BY ALL'
     ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,8 @@ from quayside.sources.landed import read_landed
 from quayside.sources.records import read_record_file_stream
 from quayside.sources.replay import replay_config, replay_events
 from quayside.streaming.landing import commit_log, drain, start_landing
+from quayside.streaming.open_files import drain_open_files, start_open_files
+from quayside.streaming.reports import RunReport, run_reports
 
 TARGET = 1000
 MAX_AGE_MS = 86_400_000
@@ -543,6 +546,51 @@ def stream_carry(spark, sf_dir):
     )
 
 
+def _open_files(spark, sf_dir, name: str | None = None) -> str:
+    """As `_streamed`, with files open in the state store; not drained."""
+    stage, path = work_dir(spark, "stage"), work_dir(spark, "stream")
+    records = replay_events(spark, sf_dir, offsets=True)
+    first, last = records.agg(F.min("arrival_seq"), F.max("arrival_seq")).first()
+    # A range of arrival numbers for each file, so that the files come in order.
+    step = (last - first) // BATCHES + 1
+    pieces = records.withColumn("piece", F.floor((F.col("arrival_seq") - first) / step).cast("int"))
+    for piece in range(BATCHES):
+        pieces.where(F.col("piece") == piece).drop("arrival_seq", "piece").coalesce(1).write.mode("append").parquet(stage)
+    stream = read_record_file_stream(spark, stage, files_per_batch=1)
+    options = LandingOptions(target_bytes=TARGET, shards=1)
+    query = start_open_files(
+        stream, replay_config(spark), path, f"{path}/checkpoint", options, {"availableNow": True}, name
+    )
+    query.awaitTermination()
+    if name is None:
+        drain_open_files(spark, path, f"{path}/checkpoint", query.lastProgress["batchId"], options)
+    return path
+
+
+def stream_open_files(spark, sf_dir):
+    """Files of a streaming run that keeps open files in the state store, the last ones drained from it."""
+    files = manifest(spark, _open_files(spark, sf_dir)).where("status <> 'open'")
+    return files.select(
+        "stream_id", "record_count", "line_count", "raw_size_b", "created_us", "seal_reason"
+    )
+
+
+def stream_report(spark, sf_dir):
+    """What the batches of a streaming run reported of themselves, added up."""
+    name = f"report-{uuid.uuid4().hex}"
+    path = work_dir(spark, "reports")
+    report = RunReport(path, name)
+    spark.streams.addListener(report)
+    try:
+        _open_files(spark, sf_dir, name)
+        report.wait()
+    finally:
+        spark.streams.removeListener(report)
+    return run_reports(spark, path).agg(
+        *[F.sum(c).alias(c) for c in ("lines_taken", "bytes_taken", "record_count", "raw_size_b", "files_sealed", "rejects")]
+    )
+
+
 def stream_commits(spark, sf_dir):
     """Last committed offset per topic partition after a streaming run."""
     log = commit_log(spark, _streamed(spark, sf_dir, carry=True))
@@ -604,4 +652,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_landing": stream_landing,
     "stream_carry": stream_carry,
     "stream_commits": stream_commits,
+    "stream_open_files": stream_open_files,
+    "stream_report": stream_report,
 }

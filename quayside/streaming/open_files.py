@@ -31,11 +31,12 @@ from quayside.sinks import landing
 from quayside.sinks.landing import LEDGER, MANIFEST, LandingOptions, batch_folder
 from quayside.sinks.objects import is_local, open_store, put
 from quayside.streaming.landing import _drain_id, _exists, query_id, record_commits
+from quayside.streaming.reports import observed
 
 #: The query's id, as Spark hands it to the tasks of a streaming query.
 _QUERY_ID = "sql.streaming.queryId"
 #: Ledger rows on their way out of the state operator: nested columns are JSON.
-_FLAT = f"kind STRING, {MANIFEST.replace(OFFSET_RANGES, 'STRING')}, reject STRING"
+_FLAT = f"kind STRING, {MANIFEST.replace(OFFSET_RANGES, 'STRING')}, reject STRING, fresh_lines BIGINT, fresh_bytes BIGINT"
 _FIELDS = [c.strip().split(" ")[0] for c in _FLAT.split(",")]
 _TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _CURSOR = "open BOOLEAN, filled BIGINT, created BIGINT, files BIGINT, records BIGINT, lines BIGINT, size BIGINT"
@@ -145,7 +146,7 @@ class OpenFiles(StatefulProcessor):
         at, records, lines, raw = self._where()
         before = at
         found, after = spans(t, size, at, self.rules)
-        out, part, fresh = [], landing._OpenFile(self.options.compression_level), 0
+        out, part = [], landing._OpenFile(self.options.compression_level)
         for s in found:
             if s.seq != at.files - 1 or not at.open:
                 records = lines = raw = 0
@@ -157,16 +158,17 @@ class OpenFiles(StatefulProcessor):
                 part.add_offsets(list(names), codes[s.start : s.stop], partitions[s.start : s.stop], offsets[s.start : s.stop])
             if s.reason:
                 total = (records + part.records, lines + part.lines, raw + part.raw)
-                out.append(self._seal(shard, stream, at, *total, part, s.reason, now, s.sealed_us))
+                row = self._seal(shard, stream, at, *total, part, s.reason, now, s.sealed_us)
+                out.append(row | {"fresh_lines": part.lines, "fresh_bytes": part.raw})
                 part, at = landing._OpenFile(self.options.compression_level), at._replace(open=False)
         if after.open and part.records:
             ranges = [tuple(r.values()) for r in part.offset_ranges()]
-            fresh = part.records
             if part.lines:
                 self.frames.appendValue((part.finish(),))
             self.held.appendList(ranges)
             records, lines, raw = records + part.records, lines + part.lines, raw + part.raw
-            out.append(_described(shard, stream, after, fresh, part.lines, part.raw, ranges, "open", now))
+            row = _described(shard, stream, after, part.records, part.lines, part.raw, ranges, "open", now)
+            out.append(row | {"fresh_lines": part.lines, "fresh_bytes": part.raw})
         if not after.open:
             records = lines = raw = 0
         self.cursor.update((after.open, after.filled, after.created, after.files, records, lines, raw))
@@ -237,7 +239,7 @@ def _state_store(spark: SparkSession):
 
 def _unpacked(flat: DataFrame) -> DataFrame:
     nested = {"offsets": F.from_json("offsets", OFFSET_RANGES), "reject": F.from_json("reject", landing._REJECT, _TIMES)}
-    return flat.withColumns(nested)
+    return flat.withColumns(nested).drop("fresh_lines", "fresh_bytes")
 
 
 def start_open_files(
@@ -247,13 +249,14 @@ def start_open_files(
     checkpoint: str,
     options: LandingOptions = LandingOptions(),
     trigger: dict | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Lands a stream of records until stopped, with open files in the state store.
 
     Arguments are those of `start_landing`; files are carried from batch to batch and, with
     `max_age_ms`, closed by timers, which keep small batches coming without records. Null timestamps count as the epoch. The run id is the query's id. Ledger,
     commits and names are as there, but an `open` row has only what its batch brought. A run that was
-    drained is over; another one needs a new checkpoint.
+    drained is over; another one needs a new checkpoint. A `RunReport` of the query's `name` keeps its figures.
     """
     if options.distribution != "keyed":
         raise ValueError("open files are carried only with distribution='keyed'")
@@ -285,7 +288,9 @@ def start_open_files(
         writer.parquet(f"{path}/ledger/{batch_folder(run_id, batch_id)}")
         record_commits(batch.sparkSession, path, run_id, batch_id, batch_id - 1)
 
-    writer = ledger.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    writer = observed(ledger).writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    if name:
+        writer = writer.queryName(name)
     with _state_store(spark):
         return writer.trigger(**(trigger or {"processingTime": "15 seconds"})).foreachBatch(run).start()
 
@@ -341,7 +346,7 @@ def drain_open_files(
                     "final", named_us, named_us,
                 ))
             if rows:
-                yield pa.RecordBatch.from_pylist([{k: r[k] for k in _FIELDS} for r in rows], like)
+                yield pa.RecordBatch.from_pylist([{k: r.get(k) for k in _FIELDS} for r in rows], like)
 
     like = to_arrow_schema(spark.createDataFrame([], _FLAT).schema)
     drained = _drain_id(last_batch)

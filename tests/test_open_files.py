@@ -17,6 +17,7 @@ from quayside.sources.records import read_record_file_stream
 from quayside.sources.replay import replay_config, replay_events
 from quayside.streaming.landing import commit_log
 from quayside.streaming.open_files import drain_open_files, merged, open_files, start_open_files
+from quayside.streaming.reports import RunReport, run_reports
 
 OPTIONS = LandingOptions(target_bytes=900, shards=1, segment_offsets=None)
 COLUMNS = ["stream_id", "record_count", "line_count", "raw_size_b", "created_us", "seal_reason"]
@@ -100,6 +101,35 @@ def test_restarts_and_repeats_give_the_files_of_one_batch(spark, records, config
     assert rows(ends) == rows(records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("n")))
 
 
+def test_reports_are_the_ledger_batch_by_batch(spark, records, config):
+    stage, path = work_dir(spark, "stage"), work_dir(spark, "stream")
+    first = records.agg(F.min("arrival_seq")).first()[0]
+    moved = records.withColumn("arrival_seq", F.col("arrival_seq") - first)
+    for part in range(2):
+        add(moved, stage, part, 2)
+    stream = read_record_file_stream(spark, stage, files_per_batch=1)
+    report = RunReport(path, "reported")
+    spark.streams.addListener(report)
+    try:
+        query = start_open_files(stream, config, path, f"{path}/checkpoint", OPTIONS, {"availableNow": True}, "reported")
+        query.awaitTermination()
+        assert report.wait()
+    finally:
+        spark.streams.removeListener(report)
+    found = run_reports(spark, path)
+    files = manifest(spark, path).where("status <> 'open'")
+    by_batch = files.groupBy("batch_id").agg(
+        F.sum("line_count").alias("record_count"),
+        F.sum("raw_size_b").alias("raw_size_b"),
+        F.count("*").alias("files_sealed"),
+        F.count_if(F.col("status") == "uploaded").alias("successful_uploads"),
+    )
+    assert rows(found.select(*by_batch.columns)) == rows(by_batch)
+    lines = process(records, config).where("outcome = 'ok'").count()
+    taken, rejects, least = found.agg(F.sum("lines_taken"), F.sum("rejects"), F.min("record_per_sec")).first()
+    assert (taken, rejects) == (lines, quarantined(spark, path).count()) and least > 0
+
+
 def test_a_batch_writes_only_what_it_brought(spark, records, config):
     stage, path = work_dir(spark, "stage"), work_dir(spark, "stream")
     first = records.agg(F.min("arrival_seq")).first()[0]
@@ -139,6 +169,10 @@ def test_timers_close_files_that_get_no_more(spark, records, config):
             if taken + quarantined(spark, path).count() == 200:
                 break
             time.sleep(1)
+        # The state is read as of the last batch that the checkpoint has.
+        sealed = files.agg(F.max("batch_id")).first()[0]
+        while time.time() < end and query.lastProgress["batchId"] < sealed:
+            time.sleep(1)
     finally:
         query.stop()
     assert taken + quarantined(spark, path).count() == 200
