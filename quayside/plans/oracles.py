@@ -141,6 +141,13 @@ delivered AS (SELECT l_returnflag || l_linestatus AS topic, CAST(l_suppkey % 6 A
 marks AS (SELECT topic, "partition", min("offset") AS watermark FROM delivered GROUP BY ALL)"""
 _LINES = f"WITH {_DELIVERED}, uploaded AS ({_RANGES.format(keys=_KEYS, source='delivered')})"
 
+_STEPPED = f"""
+WITH delivered AS (SELECT l_returnflag || l_linestatus AS topic, CAST(l_suppkey % 6 AS INTEGER) AS "partition",
+    l_orderkey AS "offset", (l_orderkey * 7 + l_linenumber) % 10 AS step FROM lineitem),
+marks AS (SELECT topic, "partition", min("offset") AS watermark FROM delivered
+    JOIN (SELECT topic, "partition", min(step) AS step FROM delivered GROUP BY ALL) USING (topic, "partition", step) GROUP BY ALL),
+uploaded AS ({_RANGES.format(keys=_KEYS, source='delivered')})"""
+
 _DOCUMENTS = """
 c AS (SELECT doc_id AS event_id, doc_id AS t, source || chr(31) || lang AS stream_id,
     position(chr(10) IN text) > 0 AS has_newline,
@@ -335,7 +342,8 @@ FROM f WHERE outcome = 'ok'"""
     "stream_landing": _LANDED_TOTALS,
     "landed_snapshot": _LANDED_TOTALS,
     "stream_carry": _sealed(
-        "SELECT stream_id, record_count, line_count, raw_size_b, created_us, seal_reason FROM files"
+        "SELECT stream_id, record_count, line_count, raw_size_b, created_us, seal_reason FROM files",
+        shard='"partition" % 32',
     ),
     "stream_open_files": _sealed(
         "SELECT stream_id, record_count, line_count, raw_size_b, created_us, seal_reason FROM files"
@@ -350,4 +358,7 @@ FROM f WHERE outcome = 'ok'"""
     "stream_commits": _records(
         'SELECT topic, "partition", max("offset") + 1 AS commit_offset FROM f GROUP BY ALL'
     ),
+    "offset_log": f"""{_STEPPED} {_HELD}
+SELECT topic, "partition", coalesce(commit_offset, marks.watermark) AS watermark, start, "end"
+FROM marks LEFT JOIN commits USING (topic, "partition") LEFT JOIN held USING (topic, "partition")""",
 }

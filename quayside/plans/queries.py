@@ -40,6 +40,7 @@ from quayside.sources.landed import read_landed
 from quayside.sources.records import read_record_file_stream
 from quayside.sources.replay import replay_config, replay_events
 from quayside.streaming.landing import commit_log, drain, start_landing
+from quayside.streaming.offset_log import append_offsets, offsets_after
 from quayside.streaming.open_files import drain_open_files, start_open_files
 from quayside.streaming.reports import RunReport, run_reports
 
@@ -47,6 +48,7 @@ TARGET = 1000
 MAX_AGE_MS = 86_400_000
 DAY = 86_400.0
 BATCHES = 3
+STEPS = 10
 
 
 def _us(name: str) -> F.Column:
@@ -384,12 +386,13 @@ def commit_gaps(spark, sf_dir):
     return offsets.commit_gaps(_uploaded(spark, sf_dir), _watermarks(spark, sf_dir))
 
 
-def _line_offsets(spark, sf_dir) -> DataFrame:
+def _line_offsets(spark, sf_dir, *extra: F.Column) -> DataFrame:
     """Line items as deliveries of order keys: repeated, out of order and with gaps."""
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.concat("l_returnflag", "l_linestatus").alias("topic"),
         (F.col("l_suppkey") % 6).cast("int").alias("partition"),
         F.col("l_orderkey").alias("offset"),
+        *extra,
     )
 
 
@@ -514,15 +517,15 @@ def _streamed(spark, sf_dir, carry: bool) -> str:
     records = replay_events(spark, sf_dir, offsets=True)
     first, last = records.agg(F.min("arrival_seq"), F.max("arrival_seq")).first()
     step = (last - first) // BATCHES + 1
+    config, options = replay_config(spark), LandingOptions(target_bytes=TARGET)
     for low in range(first, last + 1, step):
         part = records.where(F.col("arrival_seq").between(low, low + step - 1))
-        part.drop("arrival_seq").coalesce(1).write.mode("append").parquet(stage)
-    config, options = replay_config(spark), LandingOptions(target_bytes=TARGET, shards=1, segment_offsets=None)
-    stream = read_record_file_stream(spark, stage, files_per_batch=1)
-    query = start_landing(
-        stream, config, path, f"{path}/checkpoint", options, {"availableNow": True}, carry
-    )
-    query.awaitTermination()
+        part.drop("arrival_seq").write.mode("append").parquet(stage)
+        # Started again, the query takes what came since as its next batch.
+        query = start_landing(
+            read_record_file_stream(spark, stage), config, path, f"{path}/checkpoint", options, {"availableNow": True}, carry
+        )
+        query.awaitTermination()
     if carry:
         drain(spark, config, path, query.id, query.lastProgress["batchId"], options)
     return path
@@ -591,6 +594,18 @@ def stream_report(spark, sf_dir):
     )
 
 
+def offset_log(spark, sf_dir):
+    """Watermarks and ranges that are still tracked after the steps in which line items were delivered."""
+    stage, path = work_dir(spark, "stage"), work_dir(spark, "offsets")
+    step = F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(STEPS)).alias("step")
+    _line_offsets(spark, sf_dir, step).write.partitionBy("step").parquet(stage)
+    for n in range(STEPS):
+        ranges = offsets.offset_ranges(spark.read.parquet(stage).where(F.col("step") == n))
+        append_offsets(spark, path, "deliveries", n, ranges, ranges)
+    ranges, watermarks = offsets_after(spark, path, "deliveries", STEPS - 1)
+    return watermarks.join(ranges, list(offsets.PARTITION), "left")
+
+
 def stream_commits(spark, sf_dir):
     """Last committed offset per topic partition after a streaming run."""
     log = commit_log(spark, _streamed(spark, sf_dir, carry=True))
@@ -652,6 +667,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_landing": stream_landing,
     "stream_carry": stream_carry,
     "stream_commits": stream_commits,
+    "offset_log": offset_log,
     "stream_open_files": stream_open_files,
     "stream_report": stream_report,
 }

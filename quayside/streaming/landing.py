@@ -17,20 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.operators.offsets import (
-    PARTITION,
-    advance,
-    committable,
-    merge_ranges,
-    offset_ranges,
-    outstanding,
-)
+from quayside.operators.offsets import PARTITION, offset_ranges
 from quayside.schema import RECORD
 from quayside.sinks.landing import LandingOptions, batch_folder, land, manifest, quarantined
 from quayside.sinks.objects import open_store
-
-_WATERMARKS = "topic STRING, partition INT, previous BIGINT, watermark BIGINT"
-_RANGES = "topic STRING, partition INT, start BIGINT, `end` BIGINT"
+from quayside.streaming.offset_log import append_offsets, moves
 
 
 def _exists(store: fs.FileSystem, path: str) -> bool:
@@ -77,55 +68,32 @@ def _opened(spark: SparkSession, path: str, run_id: str, batch_id: int) -> DataF
     return manifest(spark, path, batch_id - 1, run_id).where("status = 'open'")
 
 
-def _table(spark: SparkSession, path: str, name: str, run_id: str, batch_id: int, schema: str) -> DataFrame:
-    folder = batch_folder(run_id, batch_id)
-    store, root = open_store(path)
-    if not _exists(store, f"{root}/{name}/{folder}"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/{name}/{folder}")
-
+def _step(batch_id: int) -> int:
+    """Place of a batch in the run's log of offsets; the drain after a batch follows it."""
+    return 2 * batch_id if batch_id >= 0 else -2 * batch_id - 1
 
-def record_commits(spark: SparkSession, path: str, run_id: str, batch_id: int, previous: int) -> None:
-    """Advances the commit bookkeeping by one batch.
 
-    Reads only the ledger of this batch and the two tables of the one before: `uploaded`
-    ranges and `watermarks` with the value they had before and have after the batch.
-    """
+def record_commits(spark: SparkSession, path: str, run_id: str, batch_id: int) -> None:
+    """Advances the commit bookkeeping by one batch, from its ledger and quarantine."""
     files = manifest(spark, path, batch_id, run_id)
     landed = files.select("status", F.explode("offsets").alias("r")).select(
         "status", "r.topic", "r.partition", "r.start", "r.end"
     )
     rejected = offset_ranges(quarantined(spark, path, batch_id, run_id))
-    known = _table(spark, path, "watermarks", run_id, previous, _WATERMARKS).select(*PARTITION, "watermark")
-    held = outstanding(_table(spark, path, "uploaded", run_id, previous, _RANGES), known)
-
-    released = landed.where("status <> 'open'").drop("status")
-    merged = merge_ranges(released.unionByName(rejected).unionByName(held))
-    uploaded = _written(merged, path, "uploaded", run_id, batch_id, _RANGES)
-
+    released = landed.where("status <> 'open'").drop("status").unionByName(rejected)
     consumed = landed.drop("status").unionByName(rejected)
-    first = consumed.groupBy(*PARTITION).agg(F.min("start").alias("watermark"))
-    marks = known.unionByName(first.join(known, list(PARTITION), "left_anti"))
-    moved = advance(marks, committable(uploaded, marks))
-    before = marks.withColumnRenamed("watermark", "previous")
-    _written(before.join(moved, list(PARTITION)), path, "watermarks", run_id, batch_id, _WATERMARKS)
-
-
-def _written(df: DataFrame, path: str, name: str, run_id: str, batch_id: int, schema: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(f"{path}/{name}/{batch_folder(run_id, batch_id)}")
-    return _table(df.sparkSession, path, name, run_id, batch_id, schema)
+    append_offsets(spark, path, run_id, _step(batch_id), released, consumed)
 
 
 def commit_log(spark: SparkSession, path: str) -> DataFrame:
     """Commits of all batches: `run_id, batch_id, topic, partition, watermark, commit_offset`."""
-    moves = (
-        spark.read.schema(f"{_WATERMARKS}, run_id STRING, batch_id BIGINT")
-        .option("basePath", f"{path}/watermarks")
-        .parquet(f"{path}/watermarks")
-        .where(F.col("watermark") > F.col("previous"))
-    )
-    return moves.select(
-        "run_id", "batch_id", *PARTITION, F.col("previous").alias("watermark"), F.col("watermark").alias("commit_offset")
+    batch = F.when(F.col("at") % 2 == 0, F.col("at") / 2).otherwise(-(F.col("at") + 1) / 2)
+    return moves(spark, path).where(F.col("watermark") > F.col("previous")).select(
+        "run_id",
+        batch.cast("bigint").alias("batch_id"),
+        *PARTITION,
+        F.col("previous").alias("watermark"),
+        F.col("watermark").alias("commit_offset"),
     )
 
 
@@ -157,11 +125,9 @@ def land_batch(
             run_id=run_id,
             arrived_us=sealed_us if carry and options.max_age_ms is not None else None,
         )
-        drained = _drain_id(batch_id - 1)
-        store, root = open_store(path)
-        previous = drained if _exists(store, f"{root}/watermarks/{batch_folder(run_id, drained)}") else batch_id - 1
-        record_commits(spark, path, run_id, batch_id, previous)
+        record_commits(spark, path, run_id, batch_id)
         # Nothing reads the open files of two batches ago any more, not even a repetition.
+        store, root = open_store(path)
         stale = f"{root}/open/{batch_folder(run_id, batch_id - 2)}"
         if _exists(store, stale):
             store.delete_dir(stale)
@@ -210,5 +176,5 @@ def drain(
     land(
         spark.createDataFrame([], RECORD), config, path, options, batch_id, clock(), opened=opened, run_id=run_id
     )
-    record_commits(spark, path, run_id, batch_id, last_batch)
+    record_commits(spark, path, run_id, batch_id)
     _intent(path, run_id, batch_id, clock)

@@ -286,7 +286,7 @@ def start_open_files(
         # One pass: reading the batch twice would land it twice.
         writer = _unpacked(batch).write.mode("overwrite").partitionBy("kind")
         writer.parquet(f"{path}/ledger/{batch_folder(run_id, batch_id)}")
-        record_commits(batch.sparkSession, path, run_id, batch_id, batch_id - 1)
+        record_commits(batch.sparkSession, path, run_id, batch_id)
 
     writer = observed(ledger).writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     if name:
@@ -352,7 +352,7 @@ def drain_open_files(
     drained = _drain_id(last_batch)
     sealed = _unpacked(open_files(spark, checkpoint).mapInArrow(seal, _FLAT))
     sealed.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/ledger/{batch_folder(run_id, drained)}")
-    record_commits(spark, path, run_id, drained, last_batch)
+    record_commits(spark, path, run_id, drained)
     store, root = open_store(path)
     store.create_dir(f"{root}/drained", recursive=True)
     with store.open_output_stream(f"{root}/drained/{run_id}", compression=None) as out:
