@@ -26,6 +26,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     revise = token_counts.revised(counted.filter("doc_id % 50 = 11"), token_counts.count_tokens(changed))
     withdraw = token_counts.signed(counted.filter("doc_id % 50 = 7"), -1)
     token_counts.commit(spark, path, "load", token_counts.signed(counted, 1))
+    token_counts.fold(spark, path)
     for _ in range(2):  # the second time changes nothing
         token_counts.commit(spark, path, "withdraw", withdraw)
         token_counts.commit(spark, path, "revise", revise)

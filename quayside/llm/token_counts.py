@@ -1,7 +1,13 @@
-"""Token totals by source, language and tokenizer version, kept up to date by signed changes."""
+"""Token totals by source, language and tokenizer version, kept up to date by signed changes.
+
+A batch of changes is committed once, as a folder with its sums by key. `fold` adds the batches
+since the last time to the totals and writes new ones beside the old, with the list of the
+batches that they hold; `rollup` reads the newest totals and the batches that are not among them.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -69,22 +75,65 @@ def commit(spark: SparkSession, path: str, batch_id: str, changes: DataFrame) ->
     return True
 
 
+def _marks(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that Spark's committer marked complete, by name."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return sorted(f.getPath().getParent().toString() for f in found or [])
+
+
 def batches(spark: SparkSession, path: str) -> list[str]:
-    """The committed batches: one folder each."""
-    if not exists(spark, path):
-        return []
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
-    names = sorted(x.getPath().getName() for x in found)
-    return [n for n in names if n.startswith("batch=") and exists(spark, f"{path}/{n}/_SUCCESS")]
+    """The committed batches: the name of one folder each, found in one listing."""
+    return sorted(folder.rsplit("/", 1)[1] for folder in _marks(spark, f"{path}/batch=*"))
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    """Sums by key; keys whose documents are all gone add nothing to any total and go."""
+    sums = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+    return sums.filter("n_docs <> 0 OR n_tokens <> 0")
+
+
+def _read(spark: SparkSession, folders: list[str]) -> DataFrame:
+    return spark.read.schema(SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], SCHEMA)
+
+
+def _totals(spark: SparkSession, path: str) -> tuple[int, DataFrame, set[str]]:
+    """The newest complete totals: their number, their rows and the names of the batches in them."""
+    found = max((f.rsplit("/", 2)[1] for f in _marks(spark, f"{path}/totals/*/batches")), default=None)
+    if found is None:
+        return 0, _read(spark, []), set()
+    names = spark.read.schema("batch string").parquet(f"{path}/totals/{found}/batches").collect()
+    return int(found.split("-")[0]), _read(spark, [f"{path}/totals/{found}/sums"]), {r["batch"] for r in names}
+
+
+def _since(spark: SparkSession, path: str, held: set[str]) -> list[str]:
+    return [name for name in batches(spark, path) if name not in held]
+
+
+def fold(spark: SparkSession, path: str) -> bool:
+    """Writes new totals that hold all committed batches: False if there is no new one.
+
+    Reads the totals before and the batches since. The list of batches is written last and makes
+    the totals count, so a failed attempt is never read. Nothing is replaced or removed: batches
+    may be committed, and totals folded, at the same time, and any complete totals together with the
+    batches they lack give the same rollup. Lists of batches, not documents, pass the driver.
+    """
+    number, totals, held = _totals(spark, path)
+    fresh = _since(spark, path, held)
+    if not fresh:
+        return False
+    root = f"{path}/totals/{number + 1:012d}-{uuid.uuid4().hex[:8]}"
+    _summed(totals.unionByName(_read(spark, [f"{path}/{name}" for name in fresh]))).write.parquet(f"{root}/sums")
+    listed = spark.createDataFrame([(name,) for name in sorted(held | set(fresh))], "batch string")
+    listed.coalesce(1).write.parquet(f"{root}/batches")
+    return True
 
 
 def rollup(spark: SparkSession, path: str) -> DataFrame:
     """The totals after all committed batches; keys whose documents are all gone are left out.
 
-    Null source and lang are keys of their own. A path without a batch has no rows.
+    Reads the newest totals and the batches since. Null source and lang are keys of their own;
+    repeated rows count as often as they came. A path without a batch has no rows.
     """
-    folders = [f"{path}/{name}" for name in batches(spark, path)]
-    rows = spark.read.schema(SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], SCHEMA)
-    sums = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-    return sums.filter("n_docs <> 0 OR n_tokens <> 0")
+    _, totals, held = _totals(spark, path)
+    return _summed(totals.unionByName(_read(spark, [f"{path}/{name}" for name in _since(spark, path, held)])))

@@ -1,5 +1,6 @@
 """Token ids, counts and packing."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -127,3 +128,45 @@ def test_commits(spark, awkward, no_docs):
     assert token_counts.commit(spark, path, "a", token_counts.signed(counted, 1))
     assert token_counts.commit(spark, path, "gone", token_counts.signed(counted, -1))
     assert token_counts.rollup(spark, path).collect() == []
+
+
+def test_folding_at_any_moment_changes_no_total(spark):
+    """Random batches, folds between them, once or twice, and folds that fail or overlap, against plain sums."""
+    draw = random.Random(5)
+    path, want = work_dir(spark, "rollup"), defaultdict(lambda: [0, 0])
+
+    def state():
+        return {(r["source"], r["lang"], r["tokenizer"]): [r["n_docs"], r["n_tokens"]] for r in token_counts.rollup(spark, path).collect()}
+
+    assert not token_counts.fold(spark, path)
+    for n in range(8):
+        rows = []
+        for _ in range(draw.randrange(1, 6)):
+            key = (draw.choice(["a", "b", None]), draw.choice(["en", None]), "words")
+            rows.append((*key, draw.choice([1, -1]), draw.randrange(-9, 10)))
+            want[key][0] += rows[-1][3]
+            want[key][1] += rows[-1][4]
+        changes = spark.createDataFrame(rows, token_counts.SCHEMA)
+        assert token_counts.commit(spark, path, str(n), changes)
+        if n % 3 == 1:
+            before = {k: v for k, v in want.items() if v != [0, 0]}
+            assert state() == before
+            assert token_counts.fold(spark, path) and not token_counts.fold(spark, path)
+            assert not token_counts.commit(spark, path, str(n), changes)
+        assert state() == {k: v for k, v in want.items() if v != [0, 0]}
+    # Only the newest totals and the batches since are read.
+    _, totals, held = token_counts._totals(spark, path)
+    read = {f.split("/")[-2] for f in token_counts.rollup(spark, path).inputFiles()}
+    assert held == {f"batch={n}" for n in range(8)} and read == {"sums"}
+    # A fold that got no further than its sums does not count.
+    totals.unionByName(totals).write.parquet(f"{path}/totals/000000000099-unfinished/sums")
+    assert state() == {k: v for k, v in want.items() if v != [0, 0]}
+    # Two folds from the same totals, of which the one that counts lacks the last batch.
+    token_counts.commit(spark, path, "late", spark.createDataFrame([("z", "en", "words", 1, 4)], token_counts.SCHEMA))
+    want["z", "en", "words"] = [1, 4]
+    assert token_counts.fold(spark, path)
+    number = token_counts._totals(spark, path)[0]
+    totals.write.parquet(f"{path}/totals/{number:012d}-zzzzzzzz/sums")
+    spark.createDataFrame([(b,) for b in held], "batch string").write.parquet(f"{path}/totals/{number:012d}-zzzzzzzz/batches")
+    assert token_counts._totals(spark, path)[2] == held
+    assert state() == {k: v for k, v in want.items() if v != [0, 0]}
