@@ -5,11 +5,14 @@ from __future__ import annotations
 import copy
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import slices, stage
@@ -26,6 +29,11 @@ END_ID, OTHER_ID = 0, 1
 RARITY = 16
 #: Rows of a block: its documents are scored together with the counts of its words.
 BLOCK_ROWS = 4096
+#: Words are counted in as many buckets as there are blocks, but not in fewer than this.
+LEAST_BUCKETS = 8
+COUNTS = (
+    "block long, bucket int, buckets int, mark long, counts binary, total long, distinct long, words array<binary>, sizes array<long>"
+)
 #: Tokens that a replica of the network learns from, in ROUNDS rounds with an average after each.
 TASK_TOKENS = 4_000_000
 ROUNDS = 4
@@ -37,6 +45,13 @@ FAN_IN = 64
 #: Bytes of replicas that are added up together.
 FAN_IN_BYTES = 128_000_000
 
+_COUNTED = pa.schema(
+    [
+        ("block", pa.int64()), ("bucket", pa.int32()), ("buckets", pa.int32()), ("mark", pa.int64()), ("counts", pa.binary()),
+        ("total", pa.int64()), ("distinct", pa.int64()), ("words", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int64())),
+    ]
+)
+
 
 def words_of(text: str | None) -> list[bytes]:
     """Words between ASCII white space in ASCII lower case; null has none."""
@@ -52,27 +67,47 @@ def _blocks(docs: DataFrame, training: Column) -> DataFrame:
     ).withColumn("block", F.expr(f"monotonically_increasing_id() div {BLOCK_ROWS}"))
 
 
+def _bucketed(words: Iterable[bytes], buckets: int) -> tuple[list[bytes], np.ndarray]:
+    """Words in the order of their buckets, and where each bucket begins; the same for the same words."""
+    inside = sorted(words)
+    bucket = np.fromiter(map(crc32, inside), np.int64, len(inside)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    return [inside[i] for i in order.tolist()], np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _joined(words: list[bytes]) -> bytes:
+    return b" ".join(words)  # no word has a space, nor has the end
+
+
 def word_counts(blocks: DataFrame) -> DataFrame:
-    """Per block and word in it: c, its count in all training documents, and `first` once per word.
+    """The counts in all training documents of the words of each block, and of the words by themselves.
+
+    Rows with a block have `counts`, those of the block's words in one bucket by hash, in the order that
+    `_bucketed` gives; `mark` tells whether words are the same. Rows without a block have the total of a
+    bucket, its distinct words and, as `words` and `sizes`, its words that occur twice or more, and the end.
 
-    Each task adds up its blocks, so a frequent word has a row for each block, not for each
-    occurrence, however many rows hold it.
+    A block's distinct words travel to their buckets together, compressed, with the block's counts, and
+    only counts come back. There are about as many buckets as blocks, so a bucket is about as large as a block.
     """
+    buckets = max(LEAST_BUCKETS, math.ceil(blocks.count() / BLOCK_ROWS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, trained, other = None, Counter(), set()
+        block, trained = None, Counter()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            names = list(trained)
-            sizes = list(trained.values())
-            rest = [w for w in other if w not in trained]
-            names, sizes = names + rest, sizes + [0] * len(rest)
-            for at in range(0, len(names), 50_000):
-                part = names[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part), pa.int64()), pa.array(part, pa.binary()), pa.array(sizes[at : at + 50_000], pa.int64())],
-                    ["block", "word", "n"],
-                )
+            words, edges = _bucketed(trained, buckets)
+            n = np.fromiter(map(trained.__getitem__, words), np.int64, len(words))
+            used = [k for k in range(buckets) if edges[k] < edges[k + 1]]
+            pack = zstandard.ZstdCompressor(level=1).compress
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block] * len(used), pa.int64()),
+                    pa.array(used, pa.int32()),
+                    pa.array([pack(_joined(words[edges[k] : edges[k + 1]])) for k in used], pa.binary()),
+                    pa.array([pack(n[edges[k] : edges[k + 1]].tobytes()) for k in used], pa.binary()),
+                ],
+                ["block", "bucket", "words", "n"],
+            )
 
         for batch in slices(batches):
             rows = zip(batch["block"].to_pylist(), batch["training"].to_pylist(), batch["text"].to_pylist(), strict=True)
@@ -80,27 +115,40 @@ def word_counts(blocks: DataFrame) -> DataFrame:
                 if mine != block:
                     if block is not None:
                         yield from flush()
-                    block, trained, other = mine, Counter(), set()
+                    block, trained = mine, Counter()
                 words = words_of(text)
                 words.append(END)
                 if training:
                     trained.update(words)
-                else:
-                    other.update(words)
+                else:  # known to the block, with no count of its own
+                    for word in words:
+                        trained[word] += 0
         if block is not None:
             yield from flush()
 
-    local = blocks.mapInArrow(count, "block long, word binary, n long")
-    word = Window.partitionBy("word")
-    return stage(
-        local.select(
-            "block",
-            "word",
-            F.sum("n").over(word).alias("c"),
-            (F.row_number().over(word.orderBy("block")) == 1).alias("first"),
-        ),
-        "word-counts",
-    )
+    def add(rows: pa.Table) -> pa.Table:
+        unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
+        number: dict[bytes, int] = {}
+        places, marks, parts = [], [], []
+        for packed, n in zip(rows["words"].to_pylist(), rows["n"].to_pylist(), strict=True):
+            joined = unpack(packed)
+            words = joined.split(b" ")
+            places.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+            marks.append(crc32(joined))
+            parts.append(np.frombuffer(unpack(n), np.int64))
+        c = np.zeros(len(number), np.int64)
+        for at, n in zip(places, parts, strict=True):
+            c[at] += n  # a word is there once
+        bucket, blocks = rows["bucket"][0].as_py(), rows["block"].to_pylist()
+        often = [(w, k) for w, k in zip(number, c.tolist(), strict=True) if k > 1 or (k and w == END)]
+        out = [
+            {"block": b, "mark": m, "counts": pack(c[at].tobytes())} for b, m, at in zip(blocks, marks, places, strict=True)
+        ]
+        out.append({"total": int(c.sum()), "distinct": int((c > 0).sum()), "words": [w for w, _ in often], "sizes": [k for _, k in often]})
+        return pa.Table.from_pylist([{"bucket": bucket, "buckets": buckets} | r for r in out], schema=_COUNTED)
+
+    local = blocks.mapInArrow(count, "block long, bucket int, words binary, n binary")
+    return stage(local.groupBy("bucket").applyInArrow(add, COUNTS), "word-counts")
 
 
 def least_count(total: int) -> int:
@@ -110,9 +158,10 @@ def least_count(total: int) -> int:
 
 def _network(counts: DataFrame) -> tuple[dict[bytes, int], Network, int, int, int]:
     """The numbers of the words that the network knows, its first parameters, N, V and the known words' count."""
-    words = counts.filter("first AND c > 0")
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    common = words.filter((F.col("word") != F.lit(END)) & (F.col("c") >= least_count(total))).select("word", "c").collect()
+    buckets = counts.filter("block IS NULL")
+    total, distinct = buckets.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "distinct"))).first()
+    words = buckets.select(F.explode(F.arrays_zip(F.col("words").alias("word"), F.col("sizes").alias("c"))).alias("w")).select("w.*")
+    common = words.filter((F.col("word") != F.lit(END)) & (F.col("c") >= least_count(total))).collect()
     common.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     ends = words.filter(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     known = {END: END_ID} | {bytes(r["word"]): i for i, r in enumerate(common, 2)}
@@ -222,8 +271,8 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     as they are there. No rows give none, and without training rows every count is 0. Other
     columns are ignored.
 
-    Counts cover all documents. Words come back to the documents by block: one shuffle of the
-    blocks' distinct words by word, one of them and of the texts by block. The network learns in
+    Counts cover all documents. They come back to the documents by block: one shuffle of the
+    blocks' distinct words by hash, one of their counts and of the texts by block. The network learns in
     replicas, one for each TASK_TOKENS training tokens, from every window of every training document;
     the word numbers of these are shuffled once.
     """
@@ -235,19 +284,24 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     rest_words = max(0, distinct - inner - 1)
     shared = docs.sparkSession.sparkContext.broadcast((known, network, total, distinct, total - frequent, rest_words))
 
-    def score(texts: pa.Table, words: pa.Table) -> pa.Table:
+    def score(texts: pa.Table, counted: pa.Table) -> pa.Table:
         names, net, n, v, rest, rest_v = shared.value
-        number = {w: i for i, w in enumerate(words["word"].to_pylist())}
-        c = words["c"].to_numpy().astype(np.int64)
+        split = [[*words_of(text), END] for text in texts["text"].to_pylist()]
+        words, edges = _bucketed(set(chain.from_iterable(split)), counted["buckets"][0].as_py() if counted.num_rows else 1)
+        number = {w: i for i, w in enumerate(words)}
+        c, unpack = np.full(len(words), -1, np.int64), zstandard.ZstdDecompressor().decompress
+        for k, mark, packed in zip(*(counted[x].to_pylist() for x in ("bucket", "mark", "counts")), strict=True):
+            if mark != crc32(_joined(words[edges[k] : edges[k + 1]])):
+                raise RuntimeError("the rows were dealt out to blocks differently before")
+            c[edges[k] : edges[k + 1]] = np.frombuffer(unpack(packed), np.int64)
+        if (c < 0).any():
+            raise RuntimeError("a block lacks counts of its words")
         base = np.log10((c + 1) / (n + v + 1))
         net_id = np.array([names.get(w, OTHER_ID) for w in number], np.int32)
         extra = np.where(net_id == OTHER_ID, np.log10((c + 1) / (rest + rest_v + 1)), 0.0)
         out: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": []}
         ids, shares = [], []
-        for text in texts["text"].to_pylist():
-            tokens = words_of(text)
-            tokens.append(END)
-            # A word that is missing here would mean that the rows were dealt out differently before.
+        for tokens in split:
             at = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
             out["n_tokens"].append(len(tokens))
             out["n_known"].append(int((c[at] > 0).sum()))
@@ -267,7 +321,7 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
             }
         )
 
-    dealt = counts.select("block", "word", "c")
+    dealt = counts.filter("block IS NOT NULL").select("block", "bucket", "buckets", "mark", "counts")
     return blocks.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(score, SCORED)
 
 
