@@ -34,8 +34,10 @@ LEAST_BUCKETS = 8
 COUNTS = (
     "block long, bucket int, buckets int, mark long, counts binary, total long, distinct long, words array<binary>, sizes array<long>"
 )
-#: Tokens that a replica of the network learns from, in ROUNDS rounds with an average after each.
+#: Tokens that a replica of the network learns from, in ROUNDS rounds with an average after each, and how
+#: many there are at least for each number of its state, so that replicas stay smaller than what they learn from.
 TASK_TOKENS = 4_000_000
+STATE_TOKENS = 12
 ROUNDS = 4
 #: Few documents are gone through again, until so many tokens are learned from, but not more often than this.
 LEAST_TOKENS = 1_000_000
@@ -213,17 +215,17 @@ def _in_order(rows: pa.Table, kind: type) -> list[np.ndarray]:
 def _train(blocks: DataFrame, known: dict[bytes, int], network: Network, total: int) -> None:
     """Each round, replicas learn from the round's documents, one for each part; their mean is the next start.
 
-    There are as many replicas as there are TASK_TOKENS in the `total` training tokens, so how the
-    table is partitioned makes no difference, and each learns from every window of its documents. They count by the
+    There are as many replicas as there are TASK_TOKENS in the `total` training tokens, or fewer of more for
+    a large network, so how the table is partitioned makes no difference, and each learns from every window of its documents. They count by the
     tokens they learned from. They are added up in the cluster, FAN_IN at a time and no more than
     FAN_IN_BYTES, so the driver gets FAN_IN of them at most.
     """
     if not total:
         return
     spark = blocks.sparkSession
-    parts = max(1, round(total / TASK_TOKENS))
+    parts = max(1, round(total / max(TASK_TOKENS, STATE_TOKENS * len(network.state()))))
     path = _dealt(blocks, known, parts)
-    fan_in = max(2, min(FAN_IN, FAN_IN_BYTES // (8 * len(network.state()))))
+    fan_in = max(2, min(FAN_IN, FAN_IN_BYTES // (4 * len(network.state()))))
     kind = np.uint16 if len(known) < 1 << 16 else np.int32
     rounds = ROUNDS * min(MOST_PASSES, max(1, math.ceil(LEAST_TOKENS / total)))
     for number in range(rounds):
@@ -233,8 +235,7 @@ def _train(blocks: DataFrame, known: dict[bytes, int], network: Network, total:
         def learn(rows: pa.Table) -> pa.Table:
             mine = copy.deepcopy(start.value)  # noqa: B023
             learned = mine.train(iter(_in_order(rows, kind)), rate)  # noqa: B023
-            weighted = mine.state().astype(np.float64) * learned
-            return pa.table({"task": pa.array([rows["part"][0].as_py()], pa.int64()), "learned": [learned], "params": [weighted.tobytes()]})
+            return pa.table({"task": pa.array([rows["part"][0].as_py()], pa.int64()), "learned": [learned], "params": [mine.state().tobytes()]})
 
         mine = spark.read.parquet(path).filter(F.col("round") == number % ROUNDS).select("part", "place", "ids")
         learned = mine.repartition(parts, "part").groupBy("part").applyInArrow(learn, "task long, learned long, params binary")
@@ -244,13 +245,18 @@ def _train(blocks: DataFrame, known: dict[bytes, int], network: Network, total:
             replicas = stage(grouped.groupBy("task").applyInArrow(_added, "task long, learned long, params binary"), "replicas")
         rows = replicas.collect()
         if rows:
-            network.load(sum(np.frombuffer(r["params"], np.float64) for r in rows) / sum(r["learned"] for r in rows))
+            network.load(_mean([r["params"] for r in rows], [r["learned"] for r in rows]))
+
+
+def _mean(params: list, learned: list[int]) -> np.ndarray:
+    """The mean of replicas, each by the tokens it learned from."""
+    return sum(np.frombuffer(x, np.float32) * np.float64(n) for x, n in zip(params, learned, strict=True)) / sum(learned)
 
 
 def _added(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_buffer(), np.float64) for x in rows["params"])
-    learned = sum(rows["learned"].to_pylist())
-    return pa.table({"task": [rows["task"][0].as_py()], "learned": [learned], "params": [total.tobytes()]})
+    learned = rows["learned"].to_pylist()
+    mean = _mean([x.as_buffer() for x in rows["params"]], learned).astype(np.float32)
+    return pa.table({"task": [rows["task"][0].as_py()], "learned": [sum(learned)], "params": [mean.tobytes()]})
 
 
 SCORED = (
