@@ -3,6 +3,8 @@
 Sets of offsets are kept as disjoint, non-adjacent inclusive ranges per key. No step
 orders all offsets of one topic partition in one task: work is cut into blocks of
 consecutive offsets, and only ranges that touch a block edge meet again afterwards.
+Watermarks and assignments, a row per topic partition, are broadcast: a join by partition
+would bring all ranges of one into one task.
 """
 
 from __future__ import annotations
@@ -16,26 +18,31 @@ PARTITION = ("topic", "partition")
 BLOCK = 1 << 15
 
 
-def _stitch(pieces: DataFrame, keys: Sequence[str], block: int) -> DataFrame:
-    """Joins pieces across block edges. Pieces lie within a block and are maximal there.
+def _pieces(grouped: DataFrame, keys: Sequence[str], block: int) -> DataFrame:
+    """Ranges of groups that hold the sorted starts `s` and the sorted ends `e` of a block's parts.
 
-    Pieces that touch an edge meet in one group per key, at most two from each block. The
-    others stay in groups by block, where no two are adjacent.
+    A range ends where as many parts have ended as have begun, so the two lists are compared
+    place by place. Ranges inside a block are done; those that touch a block edge meet in one
+    group per key, at most two from each block.
     """
+    s, e = F.col("s"), F.col("e")
+    starts = F.filter(s, lambda x, i: F.coalesce(F.get(e, i - 1) < x - 1, F.lit(True)))
+    ends = F.filter(e, lambda x, i: F.coalesce(F.get(s, i + 1) > x + 1, F.lit(True)))
+    found = F.explode(F.arrays_zip(starts.alias("start"), ends.alias("end"))).alias("r")
+    pieces = grouped.select(*keys, found).select(*keys, "r.start", "r.end")
     at_edge = (F.pmod(F.col("start"), F.lit(block)) == 0) | (
         F.pmod(F.col("end"), F.lit(block)) == block - 1
     )
-    cell = F.when(at_edge, F.lit(-1)).otherwise(F.floor(F.col("start") / block))
-    group = [*keys, "cell"]
-    order = Window.partitionBy(*group).orderBy("start")
-    return (
-        pieces.withColumn("cell", cell)
+    order = Window.partitionBy(*keys).orderBy("start")
+    stitched = (
+        pieces.where(at_edge)
         .withColumn("fresh", F.col("start") != F.lag("end", 1).over(order) + 1)
         .withColumn("run", F.count_if(F.coalesce("fresh", F.lit(True))).over(order))
-        .groupBy(*group, "run")
+        .groupBy(*keys, "run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .drop("cell", "run")
+        .drop("run")
     )
+    return pieces.where(~at_edge).unionByName(stitched)
 
 
 def offset_ranges(
@@ -46,16 +53,9 @@ def offset_ranges(
     Offsets are first gathered per key and block, which combines before the shuffle and
     is bounded by the block whatever the number of records or duplicates.
     """
-    grouped = records.groupBy(*keys, F.floor(F.col("offset") / block).alias("block")).agg(
-        F.array_sort(F.collect_set(F.col("offset").cast("bigint"))).alias("o")
-    )
-    o = F.col("o")
-    starts = F.filter(o, lambda x, i: F.coalesce(F.get(o, i - 1) != x - 1, F.lit(True)))
-    ends = F.filter(o, lambda x, i: F.coalesce(F.get(o, i + 1) != x + 1, F.lit(True)))
-    pieces = grouped.select(
-        *keys, F.explode(F.arrays_zip(starts.alias("start"), ends.alias("end"))).alias("r")
-    )
-    return _stitch(pieces.select(*keys, "r.start", "r.end"), keys, block)
+    o = F.sort_array(F.collect_set(F.col("offset").cast("bigint")))
+    grouped = records.groupBy(*keys, F.floor(F.col("offset") / block).alias("block")).agg(o.alias("s"))
+    return _pieces(grouped.withColumn("e", F.col("s")), keys, block)
 
 
 def merge_ranges(
@@ -71,18 +71,23 @@ def merge_ranges(
         F.greatest("start", F.col("block") * block).alias("start"),
         F.least("end", (F.col("block") + 1) * block - 1).alias("end"),
     )
-    # Copies of a range collapse before the window sees them.
-    cut = cut.groupBy(*keys, "block", "start").agg(F.max("end").alias("end"))
-    order = Window.partitionBy(*keys, "block").orderBy("start")
-    seen = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    pieces = (
-        cut.withColumn("fresh", F.coalesce(F.col("start") > seen + 1, F.lit(True)))
-        .withColumn("run", F.count_if("fresh").over(order))
-        .groupBy(*keys, "block", "run")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .drop("block", "run")
+    # Copies of a range collapse before the shuffle: a group holds distinct ranges of a block,
+    # each as one number.
+    first = F.col("block") * block
+    packed = (F.col("start") - first) * block + (F.col("end") - first)
+    sets = cut.groupBy(*keys, "block").agg(F.collect_set(packed).alias("p"))
+    listed = sets.select(
+        *keys,
+        F.sort_array(F.transform("p", lambda x: F.floor(x / block) + first)).alias("s"),
+        F.sort_array(F.transform("p", lambda x: x % block + first)).alias("e"),
     )
-    return _stitch(pieces, keys, block)
+    return _pieces(listed, keys, block)
+
+
+def _listed(ranges: DataFrame, group: Sequence) -> DataFrame:
+    """Sorted starts `s` and sorted ends `e` of each group's ranges."""
+    lists = [F.sort_array(F.collect_list(c)).alias(c[0]) for c in ("start", "end")]
+    return ranges.groupBy(*group).agg(*lists)
 
 
 def file_offsets(planned: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -107,10 +112,10 @@ def committable(
     watermark. Partitions without a watermark or outside the assignment are left out.
     """
     if assignment is not None:
-        uploaded = uploaded.join(assignment.select(*PARTITION), list(PARTITION), "left_semi")
+        uploaded = uploaded.join(F.broadcast(assignment.select(*PARTITION)), list(PARTITION), "left_semi")
     here = (F.col("start") <= F.col("watermark")) & (F.col("watermark") <= F.col("end"))
     return (
-        uploaded.join(watermarks, list(PARTITION))
+        uploaded.join(F.broadcast(watermarks), list(PARTITION))
         .where(here)
         .select(*PARTITION, "watermark", (F.col("end") + 1).alias("commit_offset"))
     )
@@ -133,8 +138,8 @@ def outstanding(
     of a partition without a watermark stay.
     """
     if assignment is not None:
-        uploaded = uploaded.join(assignment.select(*PARTITION), list(PARTITION), "left_semi")
-    kept = uploaded.join(watermarks, list(PARTITION), "left")
+        uploaded = uploaded.join(F.broadcast(assignment.select(*PARTITION)), list(PARTITION), "left_semi")
+    kept = uploaded.join(F.broadcast(watermarks), list(PARTITION), "left")
     return kept.where(F.col("watermark").isNull() | (F.col("end") >= F.col("watermark"))).select(
         *PARTITION, F.greatest("start", "watermark").alias("start"), "end"
     )
@@ -147,33 +152,26 @@ def offset_backlog(tracked: DataFrame) -> DataFrame:
 
 
 def _with_previous(ranges: DataFrame, block: int) -> DataFrame:
-    """Adds `previous`: where the range before in the same partition ends.
+    """`previous`, where the range before in the same partition ends, and `start` of disjoint ranges.
 
     Ranges are ordered within blocks of their starts, and one row per block is ordered
     across blocks.
     """
-    blocked = ranges.withColumn("block", F.floor(F.col("start") / block))
-    inside = Window.partitionBy(*PARTITION, "block").orderBy("start")
-    across = Window.partitionBy(*PARTITION).orderBy("block")
-    tails = (
-        blocked.groupBy(*PARTITION, "block")
-        .agg(F.max("end").alias("tail"))
-        .withColumn("before", F.lag("tail").over(across))
-        .drop("tail")
-    )
-    return (
-        blocked.withColumn("inside", F.lag("end").over(inside))
-        .join(tails, [*PARTITION, "block"])
-        .withColumn("previous", F.coalesce("inside", "before"))
-        .drop("block", "inside", "before")
-    )
+    blocks = _listed(ranges, [*PARTITION, F.floor(F.col("start") / block).alias("block")])
+    after = F.filter("s", lambda _, i: i > 0)
+    pairs = F.transform(after, lambda x, i: F.struct(F.get("e", i).alias("previous"), x.alias("start")))
+    across = Window.partitionBy(*PARTITION).orderBy("start")
+    heads = blocks.select(*PARTITION, F.col("s")[0].alias("start"), F.element_at("e", -1).alias("tail"))
+    firsts = heads.select(*PARTITION, F.lag("tail").over(across).alias("previous"), "start")
+    inside = blocks.select(*PARTITION, F.explode(pairs).alias("r")).select(*PARTITION, "r.previous", "r.start")
+    return inside.unionByName(firsts)
 
 
 def commit_gaps(uploaded: DataFrame, watermarks: DataFrame, block: int = BLOCK) -> DataFrame:
     """Missing ranges at or above the watermark that hold back later uploaded offsets."""
-    tracked = outstanding(uploaded, watermarks).join(watermarks, list(PARTITION))
+    tracked = outstanding(uploaded, watermarks)
     gap_start = F.coalesce(F.col("previous") + 1, F.col("watermark"))
-    gaps = _with_previous(tracked, block).select(
+    gaps = _with_previous(tracked, block).join(F.broadcast(watermarks), list(PARTITION)).select(
         *PARTITION, gap_start.alias("gap_start"), (F.col("start") - 1).alias("gap_end")
     )
     return gaps.where(F.col("gap_end") >= F.col("gap_start")).withColumn(

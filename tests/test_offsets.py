@@ -149,3 +149,36 @@ def test_due_files_and_capacity(spark):
     assert due() == ["d", "a", "b"]
     assert due(2) == ["d", "a"]
     assert due(-1) == []
+
+
+def shuffled_records(df):
+    """Records that the exchanges of a plan wrote; an exchange that is read again counts once."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        plan = todo.pop()
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(plan.plan())
+        elif name != "ReusedExchangeExec":
+            if name == "ShuffleExchangeExec":
+                total += plan.metrics().apply("shuffleRecordsWritten").value()
+            todo += [plan.children().apply(i) for i in range(plan.children().size())]
+    return total
+
+
+def test_ranges_inside_blocks_meet_no_others(spark):
+    """Only a row per block and the ranges at block edges are shuffled, sorted or held for a window."""
+    spread = [2 * n + 1 for n in range(4000)]
+    ranges = offsets(spark, {0: spread, 1: spread}).coalesce(1)
+    found = o.offset_ranges(ranges)
+    assert found.count() == 8000 and shuffled_records(found) < 100
+    rows = [("t", p, n, n) for p in (0, 1) for n in spread]
+    stored = spark.createDataFrame(rows, "topic STRING, partition INT, start BIGINT, `end` BIGINT").coalesce(1)
+    first = marks(spark, {0: 1, 1: 3})
+    merged, gaps, filled = o.merge_ranges(stored.union(stored)), o.commit_gaps(stored, first), o.observed_next(stored, stored)
+    commits, kept = o.committable(stored, first), o.outstanding(stored, first)
+    for df, n in ((merged, 8000), (gaps, 7997), (filled, 2), (commits, 2), (kept, 7999)):
+        assert df.count() == n and shuffled_records(df) < 100
