@@ -80,7 +80,7 @@ def _joined(
     ranges = _read(spark, path, "ranges", run_id, entries, RANGES)
     marks = _read(spark, path, "marks", run_id, entries, MARKS)
     if of is not None:
-        ranges, marks = (df.join(of, list(PARTITION), "left_semi") for df in (ranges, marks))
+        ranges, marks = (df.join(F.broadcast(of), list(PARTITION), "left_semi") for df in (ranges, marks))
     marks = marks.groupBy(*PARTITION).agg(F.min("previous").alias("previous"), F.max("watermark").alias("watermark"))
     # What is committed goes before the rest is merged.
     return merge_ranges(outstanding(ranges, marks.drop("previous"))), marks
