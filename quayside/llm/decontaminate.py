@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quayside.llm.common import groups_of, numbers, rolling, slices
 
@@ -200,11 +201,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 held = np.zeros(batch.num_rows, bool)
-                held[[t for t, *_ in index.value.search(batch["__text"].to_pylist(), coverage)]] = True
+                # The text goes to Python once, within its row.
+                texts = batch["__row"].field("text") if plain else batch["__text"]
+                held[[t for t, *_ in index.value.search(texts.to_pylist(), coverage)]] = True
                 yield batch.select(["__row"]).filter(pa.array(~held))
 
-        marked = rows.withColumn("__text", F.col("__row.text").cast("string"))
+        marked = rows if plain else rows.withColumn("__text", F.col("__row.text").cast("string"))
         return marked.mapInArrow(keep, rows.schema)
 
+    plain = docs.schema["text"].dataType == StringType()
     rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("__row"))
     return reduce(filtered, _indexes(benchmark, min_tile), rows).select("__row.*")

@@ -85,3 +85,12 @@ def test_awkward(spark, awkward, no_docs, monkeypatch):
     assert dc.overlaps(no_docs, bench).collect() == [] and dc.overlaps(awkward, bench.limit(0)).collect() == []
     monkeypatch.setattr(dc, "BLOCK_CHARS", 10)
     assert sorted((r["doc_id"], r["item_id"]) for r in dc.overlaps(awkward, bench).collect()) == got
+
+
+def test_clean_sends_a_text_once(spark):
+    """The whole row goes to Python; a second copy of its text would double what a task holds."""
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "x y z"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "a b c d e")], "item_id long, text string")
+    kept = dc.clean(docs, items)
+    assert "__text" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
