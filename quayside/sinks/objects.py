@@ -40,11 +40,15 @@ def _write(store: fs.FileSystem, target: str, content: bytes, metadata: dict[str
         with store.open_output_stream(target, compression=None, metadata=metadata) as out:
             out.write(content)
         return
-    store.create_dir(parent, recursive=True)
     # A name of this attempt alone, renamed when complete; dot files are not read as data.
     draft = f"{parent}/.{name}.{uuid.uuid4().hex}"
     try:
-        with store.open_output_stream(draft, compression=None) as out:
+        try:
+            out = store.open_output_stream(draft, compression=None)
+        except FileNotFoundError:  # the first file of its folder
+            store.create_dir(parent, recursive=True)
+            out = store.open_output_stream(draft, compression=None)
+        with out:
             out.write(content)
         store.move(draft, target)
     except BaseException:

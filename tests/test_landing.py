@@ -3,6 +3,7 @@
 import glob
 import shutil
 
+import numpy as np
 import pytest
 import zstandard
 from pyarrow import fs
@@ -14,7 +15,7 @@ from quayside.operators.seal import lane, plan_files
 from quayside.schema import RECORD
 from quayside.session import work_dir
 from quayside.sinks import objects
-from quayside.sinks.landing import LandingOptions, land, manifest, quarantined, vacuum
+from quayside.sinks.landing import LandingOptions, _OpenFile, _rows_to_land, land, manifest, quarantined, vacuum
 from quayside.sources.landed import read_landed
 from quayside.sources.records import _kafka_options, read_record_file_stream, read_record_files
 from quayside.sources.replay import replay_config, replay_events
@@ -303,3 +304,21 @@ def test_old_records_accumulate_until_the_arrival_clock_closes_them(spark, confi
     assert step(2, 1_000_200) == closed
     # Repeated later, the batch keeps its time.
     assert step(2, 1_000_900) == closed
+
+
+def test_no_row_on_its_way_to_python_has_a_null_list(spark, sf_dir):
+    records = replay_events(spark, sf_dir, offsets=True)
+    found = _rows_to_land(records, replay_config(spark), LandingOptions())
+    nulls = found.agg(F.count_if(F.col("seed.offsets").isNull()), F.count_if(F.col("reject.headers").isNull()), F.count_if(F.col("reject.error_class").isNotNull()))
+    seeds, headers, rejects = nulls.first()
+    assert (seeds, headers) == (0, 0) and 0 < rejects < found.count()
+
+
+def test_offset_ranges_of_a_resumed_file_of_several_topics():
+    file = _OpenFile(zstandard.ZstdCompressor(level=3))
+    file.resume({"record_count": 3, "line_count": 0, "raw_size_b": 0, "offsets": [{"topic": "b", "partition": 1, "start": 4, "end": 6}]}, b"")
+    i8 = lambda *x: np.array(x, "i8")
+    file.add_offsets(["b", "a"], i8(0, 1, 0, 0), i8(1, 0, 1, 2), i8(7, 3, 3, 7))
+    file.add_offsets(["a"], i8(0, 0), i8(0, 0), i8(2, 9))
+    assert file.offset_ranges() == [("a", 0, 2, 3), ("a", 0, 9, 9), ("b", 1, 3, 7), ("b", 2, 7, 7)]
+    assert file.records == 9
