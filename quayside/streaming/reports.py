@@ -62,6 +62,7 @@ class RunReport(StreamingQueryListener):
     def onQueryStarted(self, event) -> None:
         if event.name == self.name:
             self._id = str(event.id)
+            self._ended.clear()
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress

@@ -2,6 +2,7 @@
 
 import time
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 import zstandard
@@ -178,3 +179,12 @@ def test_timers_close_files_that_get_no_more(spark, records, config):
     assert taken + quarantined(spark, path).count() == 200
     assert {r.seal_reason for r in files.collect()} == {"dormant"}
     assert open_files(spark, f"{path}/checkpoint").count() == 0
+
+
+def test_a_report_waits_for_each_run_of_its_query():
+    report, event = RunReport("/nowhere", "again"), SimpleNamespace(name="again", id="q")
+    for _ in range(2):
+        report.onQueryStarted(event)
+        assert not report.wait(0)
+        report.onQueryTerminated(event)
+        assert report.wait(0)
