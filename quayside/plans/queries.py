@@ -26,6 +26,7 @@ from quayside.operators.packing import SealRules
 from quayside.operators.records import consumed, decode, decode_errors, dropped_headers, envelope, process, route
 from quayside.operators.seal import assign_files, in_full_files, lane, plan_files, seal_rules
 from quayside.operators.topics import assign_config, unconfigured
+from quayside.schema import RECORD
 from quayside.session import work_dir
 from quayside.sinks.landing import (
     LandingOptions,
@@ -511,16 +512,24 @@ def landed_fast(spark, sf_dir):
     return read_partitioned(spark, path)
 
 
+def _arrivals(spark, sf_dir) -> list[DataFrame]:
+    """Records in ranges of arrival numbers, BATCHES at most, from one pass over the table."""
+    first, last = replay_events(spark, sf_dir).agg(F.min("arrival_seq"), F.max("arrival_seq")).first()
+    step = (last - first) // BATCHES + 1
+    piece = F.floor((F.col("arrival_seq") - first) / step).cast("int")
+    numbered = replay_events(spark, sf_dir, offsets=True).select(*RECORD.names, piece.alias("piece"))
+    folder = work_dir(spark, "pieces")
+    numbered.write.partitionBy("piece").parquet(folder)
+    pieces = spark.read.schema(numbered.schema).parquet(folder)
+    return [pieces.where(F.col("piece") == n).drop("piece") for n in range((last - first) // step + 1)]
+
+
 def _streamed(spark, sf_dir, carry: bool) -> str:
     """Records as files that arrive in time order, landed by a streaming query."""
     stage, path = work_dir(spark, "stage"), work_dir(spark, "stream")
-    records = replay_events(spark, sf_dir, offsets=True)
-    first, last = records.agg(F.min("arrival_seq"), F.max("arrival_seq")).first()
-    step = (last - first) // BATCHES + 1
     config, options = replay_config(spark), LandingOptions(target_bytes=TARGET)
-    for low in range(first, last + 1, step):
-        part = records.where(F.col("arrival_seq").between(low, low + step - 1))
-        part.drop("arrival_seq").write.mode("append").parquet(stage)
+    for part in _arrivals(spark, sf_dir):
+        part.write.mode("append").parquet(stage)
         # Started again, the query takes what came since as its next batch.
         query = start_landing(
             read_record_file_stream(spark, stage), config, path, f"{path}/checkpoint", options, {"availableNow": True}, carry
@@ -549,23 +558,20 @@ def stream_carry(spark, sf_dir):
     )
 
 
-def _open_files(spark, sf_dir, name: str | None = None) -> str:
-    """As `_streamed`, with files open in the state store; not drained."""
+def _open_files(spark, sf_dir, report: RunReport | None = None) -> str:
+    """As `_streamed`, with files open in the state store; not drained if a report is to be kept."""
     stage, path = work_dir(spark, "stage"), work_dir(spark, "stream")
-    records = replay_events(spark, sf_dir, offsets=True)
-    first, last = records.agg(F.min("arrival_seq"), F.max("arrival_seq")).first()
-    # A range of arrival numbers for each file, so that the files come in order.
-    step = (last - first) // BATCHES + 1
-    pieces = records.withColumn("piece", F.floor((F.col("arrival_seq") - first) / step).cast("int"))
-    for piece in range(BATCHES):
-        pieces.where(F.col("piece") == piece).drop("arrival_seq", "piece").coalesce(1).write.mode("append").parquet(stage)
-    stream = read_record_file_stream(spark, stage, files_per_batch=1)
-    options = LandingOptions(target_bytes=TARGET, shards=1)
-    query = start_open_files(
-        stream, replay_config(spark), path, f"{path}/checkpoint", options, {"availableNow": True}, name
-    )
-    query.awaitTermination()
-    if name is None:
+    config, options = replay_config(spark), LandingOptions(target_bytes=TARGET, shards=1)
+    for part in _arrivals(spark, sf_dir):
+        part.write.mode("append").parquet(stage)
+        query = start_open_files(
+            read_record_file_stream(spark, stage), config, path, f"{path}/checkpoint", options,
+            {"availableNow": True}, report and report.name,
+        )
+        query.awaitTermination()
+        if report:
+            report.wait()
+    if report is None:
         drain_open_files(spark, path, f"{path}/checkpoint", query.lastProgress["batchId"], options)
     return path
 
@@ -580,13 +586,11 @@ def stream_open_files(spark, sf_dir):
 
 def stream_report(spark, sf_dir):
     """What the batches of a streaming run reported of themselves, added up."""
-    name = f"report-{uuid.uuid4().hex}"
     path = work_dir(spark, "reports")
-    report = RunReport(path, name)
+    report = RunReport(path, f"report-{uuid.uuid4().hex}")
     spark.streams.addListener(report)
     try:
-        _open_files(spark, sf_dir, name)
-        report.wait()
+        _open_files(spark, sf_dir, report)
     finally:
         spark.streams.removeListener(report)
     return run_reports(spark, path).agg(

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from quayside.operators.packing import SealRules
 from quayside.operators.records import consumed, process
 from quayside.operators.seal import plan_files
+from quayside.plans.queries import BATCHES, _arrivals
 from quayside.session import work_dir
 from quayside.sinks.landing import LandingOptions, manifest, quarantined
 from quayside.sources.landed import read_landed
 from quayside.sources.records import read_record_file_stream
 from quayside.sources.replay import replay_config, replay_events
 from quayside.streaming.landing import commit_log
+from quayside.streaming import open_files as module
 from quayside.streaming.open_files import drain_open_files, merged, open_files, start_open_files
 from quayside.streaming.reports import RunReport, run_reports
 
@@ -188,3 +190,27 @@ def test_a_report_waits_for_each_run_of_its_query():
         assert not report.wait(0)
         report.onQueryTerminated(event)
         assert report.wait(0)
+
+
+def test_commits_plan_adaptively_and_no_reject_is_lost(spark, records, config, monkeypatch):
+    stage, path = work_dir(spark, "stage"), work_dir(spark, "stream")
+    # Each record has an unknown topic, so all are rejects.
+    records.withColumn("topic", F.lit("elsewhere")).drop("arrival_seq").coalesce(1).write.parquet(stage)
+    sessions, commits = [], module.record_commits
+
+    def seen(session, *args):
+        sessions.append(session.conf.get("spark.sql.adaptive.enabled"))
+        commits(session, *args)
+
+    monkeypatch.setattr(module, "record_commits", seen)
+    run(spark, config, stage, path)
+    assert sessions == ["true"]
+    assert quarantined(spark, path).count() == records.count() > module.REJECT_KEYS
+
+
+def test_pieces_of_a_replay_come_in_order_and_whole(spark, records, sf_dir):
+    numbered = records.select("topic", "partition", "offset", "arrival_seq")
+    pieces = [p.join(numbered, ["topic", "partition", "offset"]) for p in _arrivals(spark, sf_dir)]
+    spans = [p.agg(F.min("arrival_seq"), F.max("arrival_seq"), F.count("*")).first() for p in pieces]
+    assert len(spans) == BATCHES and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert sum(s[2] for s in spans) == records.count()
