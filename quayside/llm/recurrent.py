@@ -130,6 +130,21 @@ def windows(docs: Iterator[tuple[np.ndarray, int]], lanes: int, size: int) -> It
         running = [running[j] for j in going.tolist()]
 
 
+def _order(numbers: np.ndarray, below: int) -> np.ndarray:
+    """The stable order of numbers from 0 and `below` a bound; numpy sorts those of 16 bits several times faster."""
+    return np.argsort(numbers.astype(np.uint16) if below <= 1 << 16 else numbers, kind="stable")
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where another number begins."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.empty(0, np.int64)
+
+
+def _by_gate(columns: np.ndarray) -> np.ndarray:
+    """Columns of both gates as two arrays in a row; numpy is slow on parts of rows."""
+    return np.ascontiguousarray(columns.reshape(-1, 2, HIDDEN).transpose(1, 0, 2))
+
+
 class Network:
     """Parameters by name; word 0 is the end, 1 stands for all unknown ones, others are numbered by frequency.
 
@@ -198,40 +213,39 @@ class Network:
         Where `fresh`, a document begins and the state with it.
         """
         n, (steps, lanes) = HIDDEN, before.shape
+        kept = 1 if keep is None else steps
         out = self._space("states", steps, lanes, n)
-        u_gates, u_new = self.p["u"][:, : 2 * n].copy(), self.p["u"][:, 2 * n :].copy()
-        p_gates, p_new = projected[:, : 2 * n].copy(), projected[:, 2 * n :].copy()
-        x, size = self._space("x", lanes, 2 * n), self._space("size", lanes, 2 * n)
-        new, size_new = self._space("new", lanes, n), self._space("size_new", lanes, n)
-        gates, y = self._space("gates", lanes, 2 * n), self._space("y", lanes, n)
+        u_gates, u_new = _by_gate(self.p["u"][:, : 2 * n]), self.p["u"][:, 2 * n :].copy()
+        p_gates, p_new = _by_gate(projected[:, : 2 * n]), projected[:, 2 * n :].copy()
+        x, size, half = (self._space(k, 2, lanes, n) for k in ("x", "size", "half"))
+        part, size_new = self._space("part", lanes, n), self._space("size_new", lanes, n)
+        all_gates, all_y, all_new = self._space("gates", kept, 2, lanes, n), self._space("y", kept, lanes, n), self._space("new", kept, lanes, n)
         for t in range(steps):
             if fresh is not None and fresh[t].any():
                 h = np.where(fresh[t][:, None], np.float32(0), h)
-            p_gates.take(before[t], axis=0, out=x, mode="clip")
+            at = min(t, kept - 1)
+            gates, y, new = all_gates[at], all_y[at], all_new[at]
+            p_gates.take(before[t], axis=1, out=x, mode="clip")
             np.matmul(h, u_gates, out=gates)
             gates += x
             np.abs(gates, out=size)
             size += 1.0
             gates /= size  # now within -1 and 1; half of that and a half is the gate
-            z, r = gates[:, :n], gates[:, n:]
-            if keep is not None:
-                keep.append([h.copy(), gates.copy(), None, None])
-            gates *= 0.5
-            gates += 0.5
+            np.multiply(gates, np.float32(0.5), out=half)
+            half += 0.5
+            z, r = half
             np.matmul(h, u_new, out=y)
-            if keep is not None:
-                keep[-1][2] = y.copy()
-            y *= r
+            np.multiply(y, r, out=part)
             p_new.take(before[t], axis=0, out=new, mode="clip")
-            new += y
+            new += part
             np.abs(new, out=size_new)
             size_new += 1.0
             new /= size_new
             if keep is not None:
-                keep[-1][3] = new.copy()
-            np.subtract(h, new, out=y)
-            y *= z
-            np.add(new, y, out=out[t])
+                keep.append((h, gates, y, new))
+            np.subtract(h, new, out=part)
+            part *= z
+            np.add(new, part, out=out[t])
             h = out[t]
         return out
 
@@ -241,12 +255,12 @@ class Network:
         The logits are small, as states lie within -1 and 1, so that they need no shift.
         """
         p, out = self.p, np.empty(len(target))
-        order = np.argsort(target, kind="stable")
-        h, target = h[order], target[order]
+        order = _order(target, self.words)
+        h, target = h.take(order, axis=0, out=self._space("by_target", *h.shape), mode="clip"), target[order]
         cls = self.class_of[target]
         back = None
         if grads is not None:
-            back = np.empty_like(h)
+            back = self._space("back", *h.shape)
             for k in ("cw", "cb", "ow", "ob"):
                 grads[k] = np.zeros_like(p[k])
         c_back = p["cw"].T.copy()
@@ -263,12 +277,14 @@ class Network:
             e_sum = e @ ones[: self.classes]
             out[a:b] = log - np.log(e_sum)
             if grads is not None:
-                e /= e_sum[:, None]
-                e[rows, cc] -= 1.0
-                grads["cw"] += hc.T @ e
-                grads["cb"] += ones[: b - a] @ e
+                e[rows, cc] -= e_sum  # the rows are divided by their sums where there are fewer columns
+                share = 1 / e_sum
+                grads["cw"] += (hc * share[:, None]).T @ e
+                grads["cb"] += share @ e
                 np.matmul(e, c_back, out=back[a:b])
-        found, edges = np.unique(cls, return_index=True)
+                back[a:b] *= share[:, None]
+        edges = _starts(cls)
+        found = cls[edges]
         edges = [*edges.tolist(), len(h)]
         for i, c in enumerate(found.tolist()):
             span = slice(int(self.starts[c]), int(self.starts[c + 1]))
@@ -288,17 +304,19 @@ class Network:
                 f_sum = f @ ones[:width]
                 out[a:b] += log - np.log(f_sum)
                 if grads is not None:
-                    f /= f_sum[:, None]
-                    f[rows, at] -= 1.0
-                    grads["ow"][span] += f.T @ hc
-                    grads["ob"][span] += ones[: b - a] @ f
-                    back[a:b] += f @ weights
+                    f[rows, at] -= f_sum
+                    share = 1 / f_sum
+                    grads["ow"][span] += f.T @ (hc * share[:, None])
+                    grads["ob"][span] += share @ f
+                    more = f @ weights
+                    more *= share[:, None]
+                    back[a:b] += more
         log = np.empty(len(out))
         log[order] = out
         if grads is not None:
-            unsorted = np.empty_like(back)
-            unsorted[order] = back
-            back = unsorted
+            place = np.empty_like(order)
+            place[order] = np.arange(len(order))
+            back = back.take(place, axis=0)
         return log, back
 
     def score(self, docs: Documents) -> list[np.ndarray]:
@@ -346,53 +364,60 @@ class Network:
         """The state after a window and the gradients of minus the log-probability of its targets."""
         p, n, keep, grads = self.p, HIDDEN, [], {}
         # Only the window's words are projected.
-        names, local = np.unique(before, return_inverse=True)
-        local = local.reshape(before.shape).astype(np.int32)
+        there_is = np.zeros(self.words, bool)
+        there_is[before.ravel()] = True
+        names = np.flatnonzero(there_is)
+        local = (np.cumsum(there_is, dtype=np.int32) - 1)[before]
         projected = p["embed"][names] @ p["w"] + p["b"]
-        states = self._run(projected, local, h, keep, fresh).copy()
+        states = self._run(projected, local, h, keep, fresh)
         whole = bool(there.all())
-        outer = np.zeros_like(states)
         _, back = self._words_of(states.reshape(-1, n) if whole else states[there], target.ravel() if whole else target[there], grads)
         if whole:
             outer = back.reshape(states.shape)
         else:
+            outer = self._space("outer", *states.shape)
+            outer[...] = 0
             outer[there] = back
-        du, dx = np.zeros_like(p["u"]), np.empty((*before.shape, 3 * n), np.float32)
-        dh, back_u = np.zeros_like(states[0]), p["u"].T.copy()
-        dy = np.empty((before.shape[1], 3 * n), np.float32)
+        lanes = before.shape[1]
+        dx, dy = self._space("dx", *before.shape, 3 * n), self._space("dy", *states.shape)
+        dh, back_gates, back_new = np.zeros_like(states[0]), p["u"][:, : 2 * n].T.copy(), p["u"][:, 2 * n :].T.copy()
+        half, slope = self._space("half", 2, lanes, n), self._space("slope", 2, lanes, n)
+        bend, d_z, dn, dr = (self._space(k, lanes, n) for k in ("bend", "d_z", "dn", "dr"))
+        one, share = np.float32(1), np.float32(0.5)
         for t in range(len(keep) - 1, -1, -1):
             prev, sign, yn, new = keep[t]
-            gate = sign * np.float32(0.5)
-            gate += np.float32(0.5)
-            z, r = gate[:, :n], gate[:, n:]
-            slope = np.abs(sign)
-            np.subtract(np.float32(1), slope, out=slope)
+            np.multiply(sign, share, out=half)
+            half += share
+            z, r = half
+            np.abs(sign, out=slope)
+            np.subtract(one, slope, out=slope)
             slope *= slope
-            slope *= np.float32(0.5)
+            slope *= share
             dh += outer[t]
-            bend = np.abs(new)
-            np.subtract(np.float32(1), bend, out=bend)
+            np.abs(new, out=bend)
+            np.subtract(one, bend, out=bend)
             bend *= bend
-            d_z = dh * z
-            dn = dh - d_z
+            np.multiply(dh, z, out=d_z)
+            np.subtract(dh, d_z, out=dn)
             dn *= bend
             np.subtract(prev, new, out=bend)
             bend *= dh
-            bend *= slope[:, :n]
-            dr = dn * yn
-            dr *= slope[:, n:]
-            dy[:, :n], dy[:, n : 2 * n] = bend, dr
-            dx[t, :, : 2 * n], dx[t, :, 2 * n :] = dy[:, : 2 * n], dn
-            np.multiply(dn, r, out=dy[:, 2 * n :])
-            du += prev.T @ dy
-            dh = dy @ back_u
+            bend *= slope[0]
+            np.multiply(dn, yn, out=dr)
+            dr *= slope[1]
+            dx[t, :, :n], dx[t, :, n : 2 * n], dx[t, :, 2 * n :] = bend, dr, dn
+            np.multiply(dn, r, out=dy[t])
+            np.matmul(dx[t, :, : 2 * n], back_gates, out=dh)
             dh += d_z
+            dh += dy[t] @ back_new
             if fresh[t].any():  # nothing goes back beyond a document's beginning
                 dh[fresh[t]] = 0
+        prevs = np.concatenate([x[0] for x in keep], out=self._space("prevs", before.size, n))
         flat, rows = local.ravel(), dx.reshape(-1, 3 * n)
-        order = np.argsort(flat, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-        by_word = np.add.reduceat(rows[order], starts, axis=0)
+        du = np.concatenate([prevs.T @ rows[:, : 2 * n], prevs.T @ dy.reshape(-1, n)], axis=1)
+        order = _order(flat, len(names))
+        ordered = rows.take(order, axis=0, out=self._space("ordered", *rows.shape), mode="clip")
+        by_word = np.add.reduceat(ordered, _starts(flat[order]), axis=0)
         embed = np.zeros_like(p["embed"])
         embed[names] = by_word @ p["w"].T
         grads |= {"u": du, "w": p["embed"][names].T @ by_word, "b": by_word.sum(axis=0), "embed": embed}

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import copy
 import math
-from collections import Counter
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
+from itertools import pairwise
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import slices, stage
+from quayside.llm.common import numbers, slices, stage
 from quayside.llm.language import remainder
 from quayside.llm.recurrent import RATES, SPAN, Documents, Network
 from quayside.session import work_dir
@@ -29,6 +29,8 @@ END_ID, OTHER_ID = 0, 1
 RARITY = 16
 #: Rows of a block: its documents are scored together with the counts of its words.
 BLOCK_ROWS = 4096
+#: Bytes of texts that are split into words together.
+SPLIT_BYTES = 16_000_000
 #: Words are counted in as many buckets as there are blocks, but not in fewer than this.
 LEAST_BUCKETS = 8
 COUNTS = (
@@ -55,9 +57,64 @@ _COUNTED = pa.schema(
 )
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space in ASCII lower case; null has none."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def _pieces(texts: pa.Array | pa.ChunkedArray) -> Iterator[pa.Array]:
+    """The texts in slices of about SPLIT_BYTES, or of one larger text."""
+    if not len(texts):
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + SPLIT_BYTES, "right")))
+        piece = texts.slice(at, to - at)
+        yield pa.concat_arrays(piece.chunks) if isinstance(piece, pa.ChunkedArray) else piece
+        at = to
+
+
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in a row, and how many each text has.
+
+    Words lie between ASCII white space and are in ASCII lower case; null has none.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, sizes = split.flatten(), pc.list_value_length(split).to_numpy().astype(np.int64)
+    # White space at the beginning or end of a text leaves an empty word there, which is none.
+    real = pc.greater(pc.binary_length(words), 0)
+    there = real.to_numpy(zero_copy_only=False)
+    if not there.all():
+        sizes -= np.bincount(np.repeat(np.arange(len(sizes)), sizes)[~there], minlength=len(sizes))
+        words = words.filter(real)
+    return words.cast(pa.large_binary()), sizes
+
+
+def _ended(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of words with END_ID after each text, and the sizes with it."""
+    sizes = sizes + 1
+    out = np.full(len(codes) + len(sizes), END_ID, codes.dtype)
+    inner = np.ones(len(out), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    out[inner] = codes
+    return out, sizes
+
+
+def _merged(parts: list[pa.Array]) -> tuple[pa.Array, list[np.ndarray]]:
+    """The end and the distinct words of lists of words, and the places in it of each list's words."""
+    every = pa.concat_arrays([pa.array([END], pa.large_binary()), *parts])
+    if len(parts) == 1:
+        return every, [np.arange(1, len(every), dtype=np.int32)]
+    found = every.dictionary_encode()
+    return found.dictionary, np.split(found.indices.to_numpy(), np.cumsum([1, *map(len, parts)])[:-1])[1:]
+
+
+def _encoded(texts: pa.Array | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of texts, the end first, and all of them as places in it; an end follows each text."""
+    pieces = [(words.dictionary_encode(), sizes) for words, sizes in map(_split, _pieces(texts))]
+    if not pieces:
+        return pa.array([END], pa.large_binary()), np.empty(0, np.int32), np.empty(0, np.int64)
+    words, places = _merged([found.dictionary for found, _ in pieces])
+    out = [_ended(at[found.indices.to_numpy()], sizes) for at, (found, sizes) in zip(places, pieces, strict=True)]
+    codes, sizes = (np.concatenate(x) for x in zip(*out, strict=True))
+    return words, codes, sizes
 
 
 def _blocks(docs: DataFrame, training: Column) -> DataFrame:
@@ -69,16 +126,21 @@ def _blocks(docs: DataFrame, training: Column) -> DataFrame:
     ).withColumn("block", F.expr(f"monotonically_increasing_id() div {BLOCK_ROWS}"))
 
 
-def _bucketed(words: Iterable[bytes], buckets: int) -> tuple[list[bytes], np.ndarray]:
-    """Words in the order of their buckets, and where each bucket begins; the same for the same words."""
-    inside = sorted(words)
-    bucket = np.fromiter(map(crc32, inside), np.int64, len(inside)) % buckets
-    order = np.argsort(bucket, kind="stable")
-    return [inside[i] for i in order.tolist()], np.searchsorted(bucket[order], np.arange(buckets + 1))
+def _bucketed(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of words by bucket, and where each bucket begins; the same for the same words, however they are given."""
+    inside = words.to_numpy(zero_copy_only=False)
+    hashed = numbers(inside)
+    order = np.argsort(hashed)
+    if (np.diff(hashed[order]) == 0).any():  # words of one hash by themselves
+        order = np.array(sorted(range(len(inside)), key=lambda i: (hashed[i], inside[i])), np.int64)
+    bucket = (hashed[order] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    return order, np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
 
 
-def _joined(words: list[bytes]) -> bytes:
-    return b" ".join(words)  # no word has a space, nor has the end
+def _joined(words: pa.Array, order: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """The words of each bucket in a row; no word has a space, nor has the end."""
+    listed = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), words.take(pa.array(order)))
+    return pc.binary_join(listed, pa.scalar(b" ", pa.large_binary())).to_pylist()
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
@@ -94,37 +156,43 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     buckets = max(LEAST_BUCKETS, math.ceil(blocks.count() / BLOCK_ROWS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, trained = None, Counter()
+        block, parts, sizes = None, [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words, edges = _bucketed(trained, buckets)
-            n = np.fromiter(map(trained.__getitem__, words), np.int64, len(words))
+            words, places = _merged(parts)
+            n = np.zeros(len(words), np.int64)
+            for at, mine in zip(places, sizes, strict=True):
+                n[0] += mine[0]
+                n[at] += mine[1:]  # a word is there once
+            order, edges = _bucketed(words, buckets)
+            joined, n = _joined(words, order, edges), n[order]
             used = [k for k in range(buckets) if edges[k] < edges[k + 1]]
             pack = zstandard.ZstdCompressor(level=1).compress
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([block] * len(used), pa.int64()),
                     pa.array(used, pa.int32()),
-                    pa.array([pack(_joined(words[edges[k] : edges[k + 1]])) for k in used], pa.binary()),
+                    pa.array([pack(joined[k]) for k in used], pa.binary()),
                     pa.array([pack(n[edges[k] : edges[k + 1]].tobytes()) for k in used], pa.binary()),
                 ],
                 ["block", "bucket", "words", "n"],
             )
 
-        for batch in slices(batches):
-            rows = zip(batch["block"].to_pylist(), batch["training"].to_pylist(), batch["text"].to_pylist(), strict=True)
-            for mine, training, text in rows:
-                if mine != block:
+        for batch in slices(batches, BLOCK_ROWS):
+            blocks = batch["block"].to_numpy()
+            edges = np.flatnonzero(np.r_[True, np.diff(blocks) != 0, True]).tolist() if len(blocks) else []
+            for a, b in pairwise(edges):
+                if (mine := int(blocks[a])) != block:
                     if block is not None:
                         yield from flush()
-                    block, trained = mine, Counter()
-                words = words_of(text)
-                words.append(END)
-                if training:
-                    trained.update(words)
-                else:  # known to the block, with no count of its own
-                    for word in words:
-                        trained[word] += 0
+                    block, parts, sizes = mine, [], []
+                training = batch["training"].slice(a, b - a).to_numpy(zero_copy_only=False)
+                for piece in _pieces(batch["text"].slice(a, b - a)):
+                    words, codes, lengths = _encoded(piece)
+                    learned, training = training[: len(piece)], training[len(piece) :]
+                    parts.append(words[1:])
+                    # Words of other texts are known to the block, with no count of their own.
+                    sizes.append(np.bincount(codes[np.repeat(learned, lengths)], minlength=len(words)))
         if block is not None:
             yield from flush()
 
@@ -172,8 +240,10 @@ def _network(counts: DataFrame) -> tuple[dict[bytes, int], Network, int, int, in
     return known, Network(frequency), total, distinct, ends + sum(sizes)
 
 
-def _numbers(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    return np.array([known.get(w, OTHER_ID) for w in words] + [END_ID], np.int32)
+def _numbers(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """The network's number of each word, of the `known` ones in the order of their numbers."""
+    at = pc.index_in(words, known).fill_null(-1).to_numpy()
+    return np.where(at < 0, OTHER_ID, np.where(at == END_ID, at, at + 1)).astype(np.int32)
 
 
 def _dealt(blocks: DataFrame, known: dict[bytes, int], parts: int) -> str:
@@ -182,14 +252,19 @@ def _dealt(blocks: DataFrame, known: dict[bytes, int], parts: int) -> str:
     The deal depends on the documents alone, not on how they are partitioned or read.
     """
     spark = blocks.sparkSession
-    names = spark.sparkContext.broadcast(known)
+    names = spark.sparkContext.broadcast(pa.array(list(known), pa.large_binary()))
     kind = np.uint16 if len(known) < 1 << 16 else np.int32
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            ids = [_numbers(words_of(t), names.value).astype(kind).tobytes() for t in batch["text"].to_pylist()]
+        def ids(texts: pa.Array) -> Iterator[bytes]:
+            for piece in _pieces(texts):
+                words, sizes = _split(piece)
+                codes, sizes = _ended(_numbers(words, names.value).astype(kind), sizes)
+                yield from (x.tobytes() for x in np.split(codes, np.cumsum(sizes)[:-1]))
+
+        for batch in slices(batches, BLOCK_ROWS):
             yield pa.RecordBatch.from_arrays(
-                [batch["round"], batch["part"], batch["place"], pa.array(ids, pa.binary())], ["round", "part", "place", "ids"]
+                [batch["round"], batch["part"], batch["place"], pa.array(ids(batch["text"]), pa.binary())], ["round", "part", "place", "ids"]
             )
 
     place = F.xxhash64("doc_id", "text")
@@ -288,29 +363,31 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     _train(blocks, known, network, total)
     inner = len(known) - 1  # the known words but the end
     rest_words = max(0, distinct - inner - 1)
-    shared = docs.sparkSession.sparkContext.broadcast((known, network, total, distinct, total - frequent, rest_words))
+    names = pa.array(list(known), pa.large_binary())
+    shared = docs.sparkSession.sparkContext.broadcast((names, network, total, distinct, total - frequent, rest_words))
 
     def score(texts: pa.Table, counted: pa.Table) -> pa.Table:
         names, net, n, v, rest, rest_v = shared.value
-        split = [[*words_of(text), END] for text in texts["text"].to_pylist()]
-        words, edges = _bucketed(set(chain.from_iterable(split)), counted["buckets"][0].as_py() if counted.num_rows else 1)
-        number = {w: i for i, w in enumerate(words)}
+        words, codes, sizes = _encoded(texts["text"])
+        order, edges = _bucketed(words, counted["buckets"][0].as_py() if counted.num_rows else 1)
+        joined = _joined(words, order, edges)
         c, unpack = np.full(len(words), -1, np.int64), zstandard.ZstdDecompressor().decompress
         for k, mark, packed in zip(*(counted[x].to_pylist() for x in ("bucket", "mark", "counts")), strict=True):
-            if mark != crc32(_joined(words[edges[k] : edges[k + 1]])):
+            if mark != crc32(joined[k]):
                 raise RuntimeError("the rows were dealt out to blocks differently before")
-            c[edges[k] : edges[k + 1]] = np.frombuffer(unpack(packed), np.int64)
+            c[order[edges[k] : edges[k + 1]]] = np.frombuffer(unpack(packed), np.int64)
         if (c < 0).any():
             raise RuntimeError("a block lacks counts of its words")
         base = np.log10((c + 1) / (n + v + 1))
-        net_id = np.array([names.get(w, OTHER_ID) for w in number], np.int32)
+        net_id = _numbers(words, names)
         extra = np.where(net_id == OTHER_ID, np.log10((c + 1) / (rest + rest_v + 1)), 0.0)
         out: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": []}
         ids, shares = [], []
-        for tokens in split:
-            at = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
-            out["n_tokens"].append(len(tokens))
-            out["n_known"].append(int((c[at] > 0).sum()))
+        ends = np.cumsum(sizes).tolist()
+        for a, b in zip([0, *ends], ends, strict=False):
+            at = codes[a:b]
+            out["n_tokens"].append(b - a)
+            out["n_known"].append(int(np.count_nonzero(c[at])))
             out["base_score"].append(float(base[at].sum()))
             ids.append(net_id[at])
             shares.append(float(extra[at].sum()))

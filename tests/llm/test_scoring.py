@@ -1,8 +1,10 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,3 +176,62 @@ def test_vocabulary_grows(spark):
     assert scoring.least_count(total) == 6 and len(known) == 1501 and net.words == 1502
     assert 0.15 < net.classes / math.sqrt(net.words) < 1.5 and net.class_of.shape == (net.words,)
     assert scoring.least_count(10**10) == 6250 and scoring.least_count(0) == 2
+
+
+def test_words(spark):
+    """Every byte as a separator or not, empty texts, nulls and bytes that are no UTF-8, in any slices of the texts."""
+    odd = [None, "", " ", "  a  B ", "a\x1cb\x1dc\x85d\xa0E", "\x00 A\x00", "".join(map(chr, range(256))), "\n\n", "ÀÉ x É", "q"]
+    want = [words(t) for t in odd]
+    for texts in (pa.array(odd), pa.array(odd, pa.large_string()), pa.array(["z", *odd]).slice(1), pa.chunked_array([odd[:3], odd[3:]])):
+        for size in (1, 20, scoring.SPLIT_BYTES):
+            with pytest.MonkeyPatch.context() as m:
+                m.setattr(scoring, "SPLIT_BYTES", size)
+                names, codes, sizes = scoring._encoded(texts)
+            names = names.to_pylist()
+            assert len(set(names)) == len(names) and names[0] == b"\n"
+            assert [[names[i] for i in x] for x in np.split(codes, np.cumsum(sizes)[:-1])] == want
+    assert [len(x) for x in scoring._encoded(pa.chunked_array([], pa.string()))] == [1, 0, 0]
+    raw = spark.sql("SELECT 0L doc_id, CAST(unhex('ff41203fFF') AS STRING) text UNION ALL SELECT 1L, 'a b'")
+    got = {r["doc_id"]: (r["n_tokens"], r["n_known"]) for r in scoring.score_documents(raw, F.lit(True)).collect()}
+    assert got == {0: (3, 3), 1: (3, 3)}
+
+
+def test_buckets(monkeypatch):
+    """The order of words by bucket does not depend on how they are given, with hashes that clash too."""
+    found = [b"\n", *(b"w%d" % i for i in range(500))]
+    other = found[::-1]
+    for clash in (False, True):
+        if clash:
+            monkeypatch.setattr(scoring, "numbers", lambda x: np.array([len(w) << 60 for w in x], np.uint64))
+        joined = []
+        for mine in (found, other):
+            mine = pa.array(mine, pa.large_binary())
+            order, edges = scoring._bucketed(mine, 13)
+            assert sorted(order.tolist()) == list(range(501)) and len(edges) == 14
+            joined.append(scoring._joined(mine, order, edges))
+        assert joined[0] == joined[1]
+        assert sorted(w for x in joined[0] if x for w in x.split(b" ")) == sorted(found)
+
+
+def test_blocks_in_parts(spark, documents, monkeypatch):
+    """Blocks that lie in several batches and pieces have the counts of whole ones."""
+    monkeypatch.setattr(scoring, "SPLIT_BYTES", 1000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        check(documents)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_steps_reuse_memory():
+    """A step's arrays of the size of its window are used again; fresh ones took as long as what was computed into them."""
+    draw = np.random.default_rng(4)
+    net = Network(np.arange(2000, 0, -1).astype(float))
+    tokens, there = draw.integers(0, 2000, (WINDOW, 512)).astype(np.int32), np.ones((WINDOW, 512), bool)
+    h, fresh = np.zeros((512, net.p["u"].shape[0]), np.float32), np.zeros((WINDOW, 512), bool)
+    net._gradients(tokens, tokens, there, fresh, h)
+    tracemalloc.start()
+    net._gradients(tokens, tokens, there, fresh, h)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * there.size * h.shape[1] * 4
